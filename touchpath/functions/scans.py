@@ -31,16 +31,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 KEY = "contact_id"
-DAY = "_day"
+DAY = "activity_date"
 CHUNK = "chunk"
 POSITION = ("branch", "seq")  # order inside one day
-CELL = (KEY, "activity_date", CHUNK)
+CELL = (KEY, DAY, CHUNK)
 
 _START, _HERE = Window.unboundedPreceding, Window.currentRow
 
 
 @dataclass(frozen=True)
 class Scan:
+    """One scan; made by the functions below."""
+
     kind: str
     value: Column | None = None
     days: int | None = None
@@ -106,13 +108,30 @@ def with_scans(rows: DataFrame, scans: dict[str, Scan]) -> DataFrame:
 
 def _by_contact(rows: DataFrame, scans: dict[str, Scan]) -> DataFrame:
     order = Window.partitionBy(KEY).orderBy(DAY, *POSITION)
-    days = Window.partitionBy(KEY).orderBy(DAY)
-    rows = rows.withColumn(DAY, F.unix_date("activity_date"))
-    added = {name: _whole(scan, order, days) for name, scan in scans.items()}
-    return rows.withColumns(added).drop(DAY)
+    ranged = {f"_x_{name}": scan.value for name, scan in scans.items() if scan.days is not None}
+    rows = rows.withColumns(ranged) if ranged else rows
+    return rows.withColumns({name: _whole(scan, f"_x_{name}", order) for name, scan in scans.items()}).drop(*ranged)
+
+
+def _days_sum(column: str, until: str) -> Column:
+    """Sum over the days up to ``until``. Serves on the sort of the rows; as SQL, because
+    only there a frame over dates takes whole days."""
+    return _zero(
+        F.expr(
+            f"sum(`{column}`) OVER (PARTITION BY {KEY} ORDER BY {DAY} RANGE BETWEEN UNBOUNDED PRECEDING AND {until})"
+        )
+    )
+
+
+def _older(column: str, days: int) -> Column:
+    return _days_sum(column, f"{days + 1} PRECEDING")
+
+
+def _reached(column: str, days: int) -> Column:
+    return _days_sum(column, f"{days} FOLLOWING")
 
 
-def _whole(scan: Scan, order: WindowSpec, days: WindowSpec) -> Column:
+def _whole(scan: Scan, ranged: str, order: WindowSpec) -> Column:
     upto = order.rowsBetween(_START, _HERE)
     before = order.rowsBetween(_START, -1)
     x = scan.value
@@ -120,11 +139,9 @@ def _whole(scan: Scan, order: WindowSpec, days: WindowSpec) -> Column:
         case "running_sum":
             return _zero(F.sum(x).over(upto))
         case "sum_within":
-            older = days.rangeBetween(_START, -(scan.days + 1))
-            return _zero(F.sum(x).over(upto)) - _zero(F.sum(x).over(older))
+            return _zero(F.sum(x).over(upto)) - _older(ranged, scan.days)
         case "sum_ahead":
-            reached = days.rangeBetween(_START, scan.days)
-            return _zero(F.sum(x).over(reached)) - _zero(F.sum(x).over(before))
+            return _reached(ranged, scan.days) - _zero(F.sum(x).over(before))
         case "previous":
             return F.lag(x).over(order)
         case "last_before":
@@ -156,13 +173,11 @@ def _by_cells(rows: DataFrame, scans: dict[str, Scan]) -> DataFrame:
 
     summaries = [F.count("*").alias("_n")]
     summaries += [_summary(scan, F.col(f"_x_{name}")).alias(f"_s_{name}") for name, scan in valued.items()]
-    cells = rows.groupBy(*CELL).agg(*summaries).withColumn(DAY, F.unix_date("activity_date"))
+    cells = rows.groupBy(*CELL).agg(*summaries)
 
     order = Window.partitionBy(KEY).orderBy(DAY, CHUNK)
-    days = Window.partitionBy(KEY).orderBy(DAY)
     inherited = cells.select(
-        *CELL,
-        *[_inherit(scan, F.col(f"_s_{name}"), order, days).alias(f"_c_{name}") for name, scan in scans.items()],
+        *CELL, *[_inherit(scan, f"_s_{name}", order).alias(f"_c_{name}") for name, scan in scans.items()]
     )
 
     local_order = Window.partitionBy(*CELL).orderBy(*POSITION)
@@ -198,17 +213,16 @@ def _summary(scan: Scan, x: Column) -> Column:
     raise ValueError(scan.kind)
 
 
-def _inherit(scan: Scan, s: Column, order: WindowSpec, days: WindowSpec) -> Column:
+def _inherit(scan: Scan, summary: str, order: WindowSpec) -> Column:
     before = order.rowsBetween(_START, -1)
+    s = F.col(summary)
     match scan.kind:
         case "running_sum":
             return _zero(F.sum(s).over(before))
         case "sum_within":
-            older = days.rangeBetween(_START, -(scan.days + 1))
-            return _zero(F.sum(s).over(before)) - _zero(F.sum(s).over(older))
+            return _zero(F.sum(s).over(before)) - _older(summary, scan.days)
         case "sum_ahead":
-            reached = days.rangeBetween(_START, scan.days)
-            return _zero(F.sum(s).over(reached)) - _zero(F.sum(s).over(before))
+            return _reached(summary, scan.days) - _zero(F.sum(s).over(before))
         case "previous":
             return F.lag(s).over(order)
         case "last_before" | "last_upto":

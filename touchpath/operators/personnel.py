@@ -64,7 +64,7 @@ def personnel_activity(
     ).join(event_relation, "event_id")
     active = user.where(F.col("is_active") == "True").select("user_id", F.col("user_name").alias("personnel_name"))
     met = (
-        meetings.join(active, F.col("owner_id") == F.col("user_id"))
+        meetings.join(if_small(active), F.col("owner_id") == F.col("user_id"))
         .select("personnel_name", F.col("event_type").alias("activity_type"), "activity_date", "contact_id")
         .distinct()
         .join(names.where(F.col("territory").isNotNull()), "contact_id")

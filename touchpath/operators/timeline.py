@@ -33,7 +33,7 @@ def contacts_without_activity(activity: DataFrame, contact: DataFrame) -> DataFr
 
 
 def present_day_rows(
-    activity: DataFrame, contact: DataFrame, settings: Settings, first_sale: str = "first_sale_date_new"
+    activity: DataFrame, contact: DataFrame, settings: Settings, *, heavy: Heavy | None = None
 ) -> DataFrame:
     """One present-day row per distinct (contact, detail, link) among the wanted activities."""
     groups = (
@@ -42,8 +42,8 @@ def present_day_rows(
         .select("contact_id", "contact_name", "additional_detail", "link")
         .distinct()
     )
-    attributes = contact.select("contact_id", "contact_type", F.col(first_sale).alias("first_sale_date"))
-    return groups.join(attributes, "contact_id", "left").select(
+    attributes = contact.select("contact_id", "contact_type", F.col("first_sale_date_new").alias("first_sale_date"))
+    return add_contact(groups, attributes, heavy).select(
         "contact_id",
         "contact_name",
         F.lit(settings.as_of).alias("activity_date"),
@@ -68,7 +68,7 @@ def activity_timeline(
         "link": F.lit(None).cast("string"),
     }
     real = accepted(activity).where(wanted_type(settings)).select("contact_id", "contact_name", "activity_date", *empty)
-    present = present_day_rows(activity, contact, settings)
+    present = present_day_rows(activity, contact, settings, heavy=heavy)
     return (
         add_contact(starts, attributes, heavy)
         .withColumns(empty | {"branch": F.lit(START)})
@@ -153,7 +153,7 @@ def first_last_flags(rows: DataFrame) -> DataFrame:
     return with_scans(rows, {"is_first": is_first(), "is_last": is_last()})
 
 
-def last_activity_date(rows: DataFrame) -> DataFrame:
+def last_activity_date(rows: DataFrame, heavy: Heavy | None = None) -> DataFrame:
     """Latest date of each contact, on each of its rows."""
     latest = rows.groupBy("contact_id").agg(F.max("activity_date").alias("max_activity_date"))
-    return rows.join(latest, "contact_id", "left")
+    return add_contact(rows, latest, heavy)

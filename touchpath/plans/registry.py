@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,11 +57,15 @@ class Inputs:
         """Scans over the dense event log."""
         return by_size([self.dense_events], self.heavy_dense, lambda log, heavy: build(arrange(log, heavy)))
 
-    def timeline(self, build: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    def both(self, build: Callable[..., DataFrame]) -> DataFrame:
+        """Build from the activity log and the contacts."""
+        return by_size([self.activity(), self.contact], self.heavy, build)
+
+    def timeline(self, build: Callable[..., DataFrame]) -> DataFrame:
         def whole(activity: DataFrame, contact: DataFrame, heavy: Heavy | None) -> DataFrame:
-            return build(timeline.timeline_rows(activity, contact, self.settings, heavy))
+            return build(timeline.timeline_rows(activity, contact, self.settings, heavy), heavy)
 
-        return by_size([self.activity(), self.contact], self.heavy, whole)
+        return self.both(whole)
 
     def lifecycle(
         self, build: Callable[[DataFrame], DataFrame], rules: lifecycle.Rules = lifecycle.DECAYING
@@ -68,7 +73,7 @@ class Inputs:
         def whole(activity: DataFrame, contact: DataFrame, heavy: Heavy | None) -> DataFrame:
             return build(lifecycle.lifecycle_rows(activity, contact, rules, self.settings, heavy=heavy))
 
-        return by_size([self.activity(), self.contact], self.heavy, whole)
+        return self.both(whole)
 
     def leveled(self, rules: lifecycle.Rules) -> DataFrame:
         def whole(activity: DataFrame, contact: DataFrame, heavy: Heavy | None) -> DataFrame:
@@ -77,7 +82,7 @@ class Inputs:
                 "contact_id", "activity_date", "branch", "seq", "activity_type", "additional_detail", "sales", "level"
             )
 
-        return by_size([self.activity(), self.contact], self.heavy, whole)
+        return self.both(whole)
 
     def features(
         self,
@@ -99,10 +104,7 @@ class Inputs:
         return recommend.recommendation(self.status(), self.content_catalog, self.consumption(), self.settings)
 
     def counted_steps(self) -> DataFrame:
-        def whole(activity: DataFrame, contact: DataFrame, heavy: Heavy | None) -> DataFrame:
-            return recommend.step_counts(activity, contact, self.settings, heavy=heavy)
-
-        return by_size([self.activity(), self.contact], self.heavy, whole)
+        return self.both(partial(recommend.step_counts, settings=self.settings))
 
     def steps(self) -> DataFrame:
         return recommend.next_step(self.status(), self.counted_steps(), self.settings)
@@ -146,12 +148,7 @@ def activity_clean(i: Inputs) -> DataFrame:
 
 
 def activity_enriched(i: Inputs) -> DataFrame:
-    rows = by_size(
-        [i.activity(), i.contact],
-        i.heavy,
-        lambda activity, contact, heavy: cleaning.enriched(activity, contact, i.settings, heavy=heavy),
-    )
-    return rows.select("contact_id", "seq", "activity_type", "activity_date", "contact_type", "first_sale_date")
+    return i.both(partial(cleaning.enriched, settings=i.settings)).select("contact_id", "seq", "activity_type", "activity_date", "contact_type", "first_sale_date")
 
 
 def dedup_keep_first(i: Inputs) -> DataFrame:
@@ -192,24 +189,19 @@ def contacts_without_activity(i: Inputs) -> DataFrame:
 
 
 def present_day_rows(i: Inputs) -> DataFrame:
-    return timeline.present_day_rows(i.activity(), i.contact, i.settings)
+    return i.both(partial(timeline.present_day_rows, settings=i.settings))
 
 
 def activity_timeline(i: Inputs) -> DataFrame:
-    rows = by_size(
-        [i.activity(), i.contact],
-        i.heavy,
-        lambda activity, contact, heavy: timeline.activity_timeline(activity, contact, i.settings, heavy=heavy),
-    )
-    return rows
+    return i.both(partial(timeline.activity_timeline, settings=i.settings))
 
 
 def first_last_flags(i: Inputs) -> DataFrame:
-    return i.timeline(timeline.first_last_flags).select(*PLACE, "is_first", "is_last")
+    return i.timeline(lambda rows, heavy: timeline.first_last_flags(rows)).select(*PLACE, "is_first", "is_last")
 
 
 def last_activity_date(i: Inputs) -> DataFrame:
-    return timeline.last_activity_date(i.timeline()).select(*PLACE, "max_activity_date")
+    return i.timeline(timeline.last_activity_date).select(*PLACE, "max_activity_date")
 
 
 # --- scans --------------------------------------------------------------------
@@ -252,7 +244,7 @@ def forward_counts(i: Inputs) -> DataFrame:
 
 
 def running_sales(i: Inputs) -> DataFrame:
-    rows = i.timeline(lambda rows: s.with_scans(rows, {"sales": s.running_sum(F.col("sales_amount"))}))
+    rows = i.timeline(lambda rows, heavy: s.with_scans(rows, {"sales": s.running_sum(F.col("sales_amount"))}))
     return rows.select(*PLACE, F.col("sales").cast("decimal(28,2)").alias("sales"))
 
 
