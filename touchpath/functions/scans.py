@@ -134,7 +134,7 @@ def _reached(column: str, days: int) -> Column:
 def _whole(scan: Scan, ranged: str, order: WindowSpec) -> Column:
     upto = order.rowsBetween(_START, _HERE)
     before = order.rowsBetween(_START, -1)
-    x = scan.value
+    x = scan.value if scan.days is None else F.col(ranged)
     match scan.kind:
         case "running_sum":
             return _zero(F.sum(x).over(upto))

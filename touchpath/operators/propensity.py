@@ -27,7 +27,7 @@ from touchpath.functions.scans import (
 )
 from touchpath.operators.cleaning import accepted, filtered, with_advisor_flag, with_defaults, with_normal_fund
 from touchpath.operators.dedup import TOTAL_ORDER, keep_one
-from touchpath.operators.skew import Heavy, arrange
+from touchpath.operators.skew import Heavy, arrange, use_checkpoints
 from touchpath.settings import ACTIVITY_TYPES, DEMOGRAPHICS, ModelSettings, Settings
 
 
@@ -177,48 +177,62 @@ def scoring_rows(rows: DataFrame) -> DataFrame:
 def exact_medians(rows: DataFrame, names: Sequence[str]) -> DataFrame:
     """One row with the exact median of each column, nulls ignored.
 
-    A built-in exact median keeps every distinct value in one task. Here an
-    approximate quantile pair first brackets the middle (its rank error is ten
-    times smaller than the margin), then only values inside the bracket are
-    counted one by one.
+    A built-in exact median gathers every distinct value in one task. Here the
+    rows are reduced to counted values in one pass; about 200 edges then cut
+    the values of a column into buckets, the bucket totals tell which buckets hold the
+    middle ranks, and only the values of those buckets are put in order. Edges
+    need not be exact for the result to be.
     """
-    margin, accuracy = 0.001, 10_000
     long = rows.select(*[F.col(name).cast("double") for name in names]).unpivot([], list(names), "name", "value")
     counted = long.where(F.col("value").isNotNull()).groupBy("name", "value").agg(F.count("*").alias("n"))
-    bracket = counted_bracket(long, margin, accuracy)
-    placed = counted.join(F.broadcast(bracket), "name")  # one row per column
-    below = placed.groupBy("name").agg(F.sum(F.when(F.col("value") < F.col("low"), F.col("n"))).alias("below"))
-    inside = placed.where(F.col("value").between(F.col("low"), F.col("high")))
-    upto = F.sum("n").over(Window.partitionBy("name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = inside.withColumn("_upto", upto).join(F.broadcast(below), "name")
-    last = F.col("_upto") + F.coalesce("below", F.lit(0))  # rank of the value's last copy, from 1
+    cuts = [step / 200 for step in range(1, 200)]
+    edges = counted.groupBy("name").agg(
+        F.percentile_approx("value", cuts, 10_000).alias("edges"), F.sum("n").alias("total")
+    )
+    placed = counted.join(F.broadcast(edges), "name").withColumn(  # one row per column
+        "bucket", F.size(F.filter("edges", lambda edge: edge < F.col("value")))
+    )
     lower, upper = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1
-    first = F.min(F.when(last >= lower, F.col("value")))
-    second = F.min(F.when(last >= upper, F.col("value")))
-    medians = ranked.groupBy("name").agg(((first + second) / 2).alias("median"))
-    return medians.agg(*[F.max(F.when(F.col("name") == name, F.col("median"))).alias(name) for name in names])
 
+    def upto(*keys: str, order: str) -> Column:
+        return F.sum("n").over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
 
-def counted_bracket(long: DataFrame, margin: float, accuracy: int) -> DataFrame:
-    """Per column: number of values and two values that enclose the median."""
-    pair = F.percentile_approx("value", [0.5 - margin, 0.5 + margin], accuracy)
-    return (
-        long.groupBy("name")
-        .agg(pair.alias("pair"), F.count("value").alias("total"))
-        .select("name", "total", F.col("pair")[0].alias("low"), F.col("pair")[1].alias("high"))
+    def holds(rank: Column) -> Column:
+        return (F.col("before") < rank) & (rank <= F.col("before") + F.col("n"))
+
+    buckets = (
+        placed.groupBy("name", "bucket", "total")
+        .agg(F.sum("n").alias("n"))
+        .withColumn("before", upto("name", order="bucket") - F.col("n"))
+        .where(holds(lower) | holds(upper))  # at most two per column
+        .select("name", "bucket", "before")
     )
+    ranked = (
+        placed.join(F.broadcast(buckets), ["name", "bucket"])
+        .withColumn("before", F.col("before") + upto("name", "bucket", order="value") - F.col("n"))
+        .select(
+            "name", F.when(holds(lower), F.col("value")).alias("low"), F.when(holds(upper), F.col("value")).alias("high")
+        )
+    )
+    medians = ranked.groupBy("name").agg(((F.max("low") + F.max("high")) / 2).alias("median"))
+    return medians.agg(*[F.max(F.when(F.col("name") == name, F.col("median"))).alias(name) for name in names])
 
 
 def impute_medians(rows: DataFrame, population: DataFrame, names: Sequence[str] = DEMOGRAPHICS) -> DataFrame:
     """Replace missing and non-positive values by the median of all values in ``population``."""
-    medians = exact_medians(population, names).select(F.struct(*names).alias("m")).scalar()
+    # one array, not one struct: fields of a struct would become a subquery each
+    medians = exact_medians(population, names).select(F.array(*names).alias("m")).scalar()
     return rows.withColumns(
-        {name: F.when(F.col(name) > 0, F.col(name).cast("double")).otherwise(medians[name]) for name in names}
+        {
+            name: F.when(F.col(name) > 0, F.col(name).cast("double")).otherwise(medians[place])
+            for place, name in enumerate(names)
+        }
     )
 
 
 def fit(training: DataFrame, features: FeatureSet, model: ModelSettings) -> PipelineModel:
     """Boosted trees with logistic loss."""
+    use_checkpoints(training.sparkSession)  # the trees cut their lineage there every ten rounds
     trees = GBTClassifier(
         featuresCol="features",
         labelCol="sale_in_35",
@@ -229,7 +243,17 @@ def fit(training: DataFrame, features: FeatureSet, model: ModelSettings) -> Pipe
         seed=model.seed,
     )
     assembler = VectorAssembler(inputCols=features.columns, outputCol="features")
-    return Pipeline(stages=[assembler, trees]).fit(_numeric(training, features))
+    # training reads its input many times: written once, it is not derived again
+    return Pipeline(stages=[assembler, trees]).fit(_numeric(training, features).checkpoint())
+
+
+def fit_and_score(rows: DataFrame, features: FeatureSet, settings: Settings, model: ModelSettings) -> DataFrame:
+    """Train on the mature rows and score each contact's last row, from one written copy of the features."""
+    use_checkpoints(rows.sparkSession)
+    rows = rows.checkpoint()
+    mature = training_rows(rows, settings)
+    fitted = fit(impute_medians(mature, mature), features, model)
+    return score(fitted, impute_medians(scoring_rows(rows), rows), features)
 
 
 def score(model: PipelineModel, rows: DataFrame, features: FeatureSet) -> DataFrame:
@@ -246,4 +270,5 @@ def area_under_curve(model: PipelineModel, rows: DataFrame, features: FeatureSet
 
 
 def _numeric(rows: DataFrame, features: FeatureSet) -> DataFrame:
-    return rows.withColumns({name: F.col(name).cast("double") for name in features.columns})
+    names = [*features.columns, "sale_in_35"]
+    return rows.select("contact_id", "contact_name", *[F.col(name).cast("double").alias(name) for name in names])

@@ -12,13 +12,13 @@ from touchpath.functions import columns as c
 from touchpath.functions import scans as s
 from touchpath.operators import cleaning, lifecycle, personnel, propensity, recommend, scores, timeline
 from touchpath.operators.dedup import keep_one
-from touchpath.operators.skew import Heavy, arrange, by_size, measure
+from touchpath.operators.skew import Heavy, arrange, by_size, measure, use_checkpoints
 from touchpath.settings import DEMOGRAPHICS, ModelSettings, Settings
 from touchpath.sources import fixtures as fx
 from touchpath.sources.tables import WEB_TRACKING_COLUMNS, project
 
 # a model small enough to be trained whenever the queries run
-QUERY_MODEL = ModelSettings(rounds=20, step_size=0.1, max_depth=4)
+QUERY_MODEL = ModelSettings(rounds=10, step_size=0.1, max_depth=4)
 
 _measured: dict[tuple[str, str, str, int], Heavy | None] = {}
 
@@ -100,14 +100,16 @@ class Inputs:
     def consumption(self) -> DataFrame:
         return recommend.content_consumption(self.web_tracking, self.contact, self.content_catalog, self.settings)
 
-    def recommended(self) -> DataFrame:
-        return recommend.recommendation(self.status(), self.content_catalog, self.consumption(), self.settings)
+    def recommended(self, status: DataFrame | None = None) -> DataFrame:
+        status = self.status() if status is None else status
+        return recommend.recommendation(status, self.content_catalog, self.consumption(), self.settings)
 
     def counted_steps(self) -> DataFrame:
         return self.both(partial(recommend.step_counts, settings=self.settings))
 
-    def steps(self) -> DataFrame:
-        return recommend.next_step(self.status(), self.counted_steps(), self.settings)
+    def steps(self, status: DataFrame | None = None) -> DataFrame:
+        status = self.status() if status is None else status
+        return recommend.next_step(status, self.counted_steps(), self.settings)
 
     def timeline_of_scores(self) -> DataFrame:
         def whole(activity: DataFrame, history: DataFrame, heavy: Heavy | None) -> DataFrame:
@@ -383,10 +385,7 @@ def median_impute(i: Inputs) -> DataFrame:
 
 def propensity_score(i: Inputs) -> DataFrame:
     features = propensity.SECOND_FEATURES
-    model = propensity.fit(_training(i, features), features, QUERY_MODEL)
-    rows = i.features(features)
-    last = propensity.impute_medians(propensity.scoring_rows(rows), rows)
-    return propensity.score(model, last, features)
+    return propensity.fit_and_score(i.features(features), features, i.settings, QUERY_MODEL)
 
 
 # --- score reports ------------------------------------------------------------
@@ -456,7 +455,10 @@ def recommendation(i: Inputs) -> DataFrame:
 
 
 def next_step_final(i: Inputs) -> DataFrame:
-    return recommend.next_step_final(i.steps(), i.recommended())
+    # both sides read the stored status, as they do between daily runs
+    use_checkpoints(i.spark)
+    status = i.status().checkpoint()
+    return recommend.next_step_final(i.steps(status), i.recommended(status))
 
 
 def recommendation_history(i: Inputs) -> DataFrame:
