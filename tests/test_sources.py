@@ -37,14 +37,16 @@ def test_latest_csv_has_a_header_and_order(spark, tmp_path):
 
 
 def test_history_is_read_from_the_past_and_a_run_can_be_repeated(spark, tmp_path):
-    path = str(tmp_path / "h")
+    path, schema = str(tmp_path / "h"), spark.range(1).schema
+    assert sinks.read_history(spark, path, D(2020, 1, 1), schema).count() == 0
     sinks.write_history(spark.range(1), path, D(2020, 1, 1))
     for _ in range(2):
-        old = sinks.read_history(spark, path, before=D(2020, 1, 2))
+        old = sinks.read_history(spark, path, D(2020, 1, 2), schema)
         sinks.write_history(old.union(spark.range(10, 12)), path, D(2020, 1, 2))
-    assert sinks.read_history(spark, path, before=D(2020, 1, 3)).count() == 3
-    assert sinks.read_history(spark, path, before=D(2020, 1, 2)).count() == 1
-    assert sinks.read_history(spark, path, before=D(2020, 1, 1)).count() == 0
+    assert sinks.read_history(spark, path, D(2020, 1, 3), schema).count() == 3
+    assert sinks.read_history(spark, path, D(2020, 1, 2), schema).count() == 1
+    assert sinks.read_history(spark, path, D(2020, 1, 1), schema).count() == 0
+    assert sinks.read_snapshot(spark, path, D(2020, 1, 2), schema).count() == 3
 
 
 def test_projection_reads_only_its_columns(spark, folder):

@@ -228,6 +228,11 @@ def current_status(rows: DataFrame) -> DataFrame:
     )
 
 
+def sample(status: DataFrame, rows: int = 1000) -> DataFrame:
+    """Any rows of a table, for a look at it."""
+    return status.limit(rows)
+
+
 def transition_report(transitions: DataFrame, after: Column) -> DataFrame:
     """Changes after a date between levels of which at least one is numbered, present day left out."""
     change = F.col("recent_level_change")

@@ -144,14 +144,14 @@ def unseen_content(
     pools = numbered.groupBy("pool").agg(
         F.array_sort(F.collect_list(F.struct("place", "event_name"))).alias("items")
     )
-    left = F.filter("items", lambda item: ~F.array_contains("consumed", item["place"]))
+    left = F.array_except("items.place", "consumed")  # keeps the order of the first
     return (
         _with_pool(status, numbered, consumption)
         .join(if_small(pools), "pool", "left")
         .select(
             "contact_id",
             "contact_name",
-            F.array_join(F.transform(left, lambda item: item["event_name"]), ", ").alias("unseen_content"),
+            F.array_join(F.transform(left, lambda place: F.col("items.event_name")[place]), ", ").alias("unseen_content"),
             F.col("unseen").cast("bigint").alias("n_unseen"),
         )
     )

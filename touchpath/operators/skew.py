@@ -23,6 +23,9 @@ from touchpath.operators.dedup import keep_one
 # at most this many contacts can each hold more than 1/MOST_HEAVY of all rows
 MOST_HEAVY = 10_000
 
+# ranges a heavy log is cut into at most; beyond that each range grows
+MOST_RANGES = 20_000
+
 # a join side with no more rows is broadcast
 SMALL_ROWS = 100_000
 
@@ -37,7 +40,7 @@ class Heavy:
 
     @property
     def tasks(self) -> int:
-        return max(2, math.ceil(self.rows / self.rows_per_task))
+        return min(MOST_RANGES, max(2, math.ceil(self.rows / self.rows_per_task)))
 
 
 def measure(activity: DataFrame, rows_per_task: int) -> Heavy | None:

@@ -397,8 +397,9 @@ def _features(rows: str, funds: str, features: FeatureSet) -> str:
 TABLES["t_features"] = _features("t_prop", "t_funds", SECOND_FEATURES)
 TABLES["t_features_v1"] = _features("t_prop_v1", "t_funds_v1", FIRST_FEATURES)
 
-TABLES["t_training"] = f"""
-    SELECT * FROM t_features
+for _version in ("", "_v1"):
+    TABLES[f"t_training{_version}"] = f"""
+    SELECT * FROM t_features{_version}
     WHERE activity_date > {_day(SETTINGS.training_floor)} AND activity_date < {AS_OF} - {SETTINGS.label_days}
     QUALIFY pos = max(pos) OVER (PARTITION BY contact_id, activity_date)"""
 
@@ -631,6 +632,8 @@ FINAL: dict[str, str] = {
         sale_in_35 FROM t_features_v1""",
     "propensity_training_set": f"""SELECT contact_id, contact_name, activity_date, {_imputed("t_training")},
         {_feature_columns(SECOND_FEATURES)}, sale_in_35 FROM t_training""",
+    "propensity_training_set_v1": f"""SELECT contact_id, contact_name, activity_date, {_imputed("t_training_v1")},
+        {_feature_columns(FIRST_FEATURES)}, sale_in_35 FROM t_training_v1""",
     "median_impute": f"""SELECT contact_id, {_imputed("t_features")}
         FROM (SELECT * FROM t_features QUALIFY pos = max(pos) OVER (PARTITION BY contact_id))""",
     "master_contacts": "SELECT * FROM t_master",

@@ -377,6 +377,11 @@ def propensity_training_set(i: Inputs) -> DataFrame:
     return _feature_output(_training(i, features), features, "activity_date")
 
 
+def propensity_training_set_v1(i: Inputs) -> DataFrame:
+    features = propensity.FIRST_FEATURES
+    return _feature_output(_training(i, features), features, "activity_date")
+
+
 def median_impute(i: Inputs) -> DataFrame:
     rows = i.features()
     imputed = propensity.impute_medians(propensity.scoring_rows(rows), rows)
@@ -522,6 +527,7 @@ BUILDERS: tuple[Callable[[Inputs], DataFrame], ...] = (
     propensity_features_v1,
     propensity_features,
     propensity_training_set,
+    propensity_training_set_v1,
     median_impute,
     propensity_score,
     master_contacts,

@@ -170,7 +170,7 @@ class Settings:
     described_types: tuple[str, ...] = DESCRIBED_TYPES
     excluded_account: str = "HOUSE"
     content_host: str = "example"
-    profiles: tuple[str, ...] = ("IBD ISC", "RIA ISC", "IBD SA", "RIA SA")
+    profiles: tuple[str, ...] = ("Broker Desk", "Adviser Desk", "Broker Associate", "Adviser Associate")
     draw_seed: str = "123"
     # a contact with more activities than this is spread over several tasks
     rows_per_task: int = 1_000_000

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+DAY = "snapshot_date"  # folder column of dated snapshots
 
 
 def full_refresh(rows: DataFrame, path: str) -> None:
@@ -20,7 +24,7 @@ def full_refresh_table(rows: DataFrame, name: str) -> None:
 
 def dated_snapshot(rows: DataFrame, path: str, day: dt.date, kind: str = "csv") -> None:
     """Write one day's snapshot next to those of other days; a re-run replaces its own day only."""
-    writer = rows.withColumn("snapshot_date", F.lit(day)).write.mode("overwrite").partitionBy("snapshot_date")
+    writer = rows.withColumn(DAY, F.lit(day)).write.mode("overwrite").partitionBy(DAY)
     writer = writer.option("partitionOverwriteMode", "dynamic")
     if kind == "csv":
         writer = writer.option("header", True)
@@ -42,9 +46,22 @@ def write_history(rows: DataFrame, path: str, day: dt.date) -> None:
     dated_snapshot(rows, path, day, kind="parquet")
 
 
-def read_history(spark: SparkSession, path: str, before: dt.date) -> DataFrame:
-    """Latest snapshot older than ``before``; only its folder is read. Empty if there is none."""
-    snapshots = spark.read.parquet(path)
-    older = snapshots.where(F.col("snapshot_date") < F.lit(before))
-    newest = older.agg(F.max("snapshot_date")).first()[0]
-    return snapshots.where(F.col("snapshot_date") == F.lit(newest)).drop("snapshot_date")
+def read_snapshot(spark: SparkSession, path: str, day: dt.date, schema: T.StructType) -> DataFrame:
+    """The snapshot of one day; only its folder is read."""
+    return spark.read.schema(_with_day(schema)).parquet(path).where(F.col(DAY) == F.lit(day)).drop(DAY)
+
+
+def read_history(spark: SparkSession, path: str, before: dt.date, schema: T.StructType) -> DataFrame:
+    """Latest snapshot older than ``before``; empty if there is none or nothing was ever written."""
+    try:
+        snapshots = spark.read.schema(_with_day(schema)).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    newest = snapshots.where(F.col(DAY) < F.lit(before)).agg(F.max(DAY)).first()[0]
+    return snapshots.where(F.col(DAY) == F.lit(newest)).drop(DAY)
+
+
+def _with_day(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
