@@ -20,11 +20,11 @@ def store(spark, folder, request, tmp_path_factory):
     settings = dataclasses.replace(fx.SETTINGS, rows_per_task=request.param)
     store = daily.Store(spark, str(tmp_path_factory.mktemp("store")), settings)
     i = Inputs(spark, folder, settings)
-    daily.refresh_lifecycle(store, i.activity(), i.contact)
+    daily.refresh_lifecycle(store, i.activity, i.contact)
     for _ in range(2):  # a second run of the same day changes nothing
-        daily.refresh_recommendations(store, i.activity(), i.contact, i.content_catalog, i.web_tracking)
+        daily.refresh_recommendations(store, i.activity, i.contact, i.content_catalog, i.web_tracking)
     daily.refresh_personnel(store, i.task, i.event, i.event_relation, i.user, i.territory, i.contact)
-    daily.refresh_score_timeline(store, i.activity(), i.score_history, i.fund_map)
+    daily.refresh_score_timeline(store, i.activity, i.score_history, i.fund_map)
     daily.refresh_web_tracking(store, i.web_tracking)
     return store
 
@@ -61,7 +61,7 @@ def test_next_day_starts_from_history(store, spark, folder):
     next_store = dataclasses.replace(store, settings=tomorrow)
     before = store.read("recommendation_history").where("snapshot_date = date '2001-11-04'").drop("snapshot_date")
     kept = set(map(tuple, before.collect()))
-    daily.refresh_recommendations(next_store, i.activity(), i.contact, i.content_catalog, i.web_tracking)
+    daily.refresh_recommendations(next_store, i.activity, i.contact, i.content_catalog, i.web_tracking)
     after = store.read("recommendation_history").where("snapshot_date = date '2001-11-05'").drop("snapshot_date")
     assert kept < set(map(tuple, after.collect()))
 
@@ -69,9 +69,9 @@ def test_next_day_starts_from_history(store, spark, folder):
 def test_scores_and_report(spark, folder, tmp_path):
     store = daily.Store(spark, str(tmp_path), fx.SETTINGS)
     i = Inputs(spark, folder)
-    daily.refresh_activity(store, i.activity(demographics=True), i.fund_map)
+    daily.refresh_activity(store, i.full_activity, i.fund_map)
     daily.refresh_scores(
-        store, i.activity(demographics=True), i.contact, i.fund_map, ModelSettings(rounds=2, step_size=0.1, max_depth=3)
+        store, i.full_activity, i.contact, i.fund_map, ModelSettings(rounds=2, step_size=0.1, max_depth=3)
     )
     assert store.read("clean_activity").count() == 4691
     assert store.read("propensity_score").count() == 135

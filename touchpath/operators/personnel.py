@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from touchpath.functions import columns as c
 from touchpath.functions.scans import previous, sum_ahead, with_scans
-from touchpath.operators.skew import if_small
+from touchpath.operators.skew import Heavy, if_small, join_contact
 from touchpath.settings import PERSONNEL_TYPES, Settings
 
 def user_territories(user: DataFrame, territory: DataFrame) -> DataFrame:
@@ -46,15 +46,16 @@ def personnel_activity(
     territory: DataFrame,
     contact: DataFrame,
     settings: Settings,
+    *,
+    heavy: Heavy | None = None,
 ) -> DataFrame:
     """Distinct task and meeting actions. Tasks of unknown contacts stay, without a contact."""
     names = contact.select("contact_id", "contact_name", "territory")
     known = names.select("contact_id", "contact_name", F.lit(True).alias("_known"))
     # repeats collapse before the contact lookup, so a busy contact joins fewer rows
+    tasks = task_territories(task, user, territory, settings).distinct()
     tasks = (
-        task_territories(task, user, territory, settings)
-        .distinct()
-        .join(known, "contact_id", "left")
+        join_contact(tasks, known, heavy)
         .withColumn("contact_id", F.when(F.col("_known"), F.col("contact_id")))
         .drop("_known")
         .distinct()
@@ -67,7 +68,9 @@ def personnel_activity(
         meetings.join(if_small(active), F.col("owner_id") == F.col("user_id"))
         .select("personnel_name", F.col("event_type").alias("activity_type"), "activity_date", "contact_id")
         .distinct()
-        .join(names.where(F.col("territory").isNotNull()), "contact_id")
+    )
+    met = (
+        join_contact(met, names.where(F.col("territory").isNotNull()), heavy, "inner")
         .withColumnRenamed("territory", "territory_name")
         .distinct()
     )

@@ -13,6 +13,7 @@ import math
 import tempfile
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,9 +87,14 @@ def arrange(
     return ranges.withColumn(CHUNK, F.spark_partition_id()).checkpoint()
 
 
-def add_contact(rows: DataFrame, contact: DataFrame, heavy: Heavy | None) -> DataFrame:
-    """Left join of contact attributes. The attributes of heavy contacts are few by construction."""
-    return rows.join(F.broadcast(contact) if heavy else contact, KEY, "left")
+def add_contact(rows: DataFrame, contact: DataFrame, heavy: Heavy | None, how: str = "left") -> DataFrame:
+    """Join contact attributes to rows that ``by_size`` has split. Those of heavy contacts are few by construction."""
+    return rows.join(F.broadcast(contact) if heavy else contact, KEY, how)
+
+
+def join_contact(rows: DataFrame, contact: DataFrame, heavy: Heavy | None, how: str = "left") -> DataFrame:
+    """Join contact attributes to rows of all contacts, splitting them here."""
+    return by_size([rows, contact], heavy, partial(add_contact, how=how))
 
 
 def if_small(side: DataFrame) -> DataFrame:

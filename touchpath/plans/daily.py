@@ -132,13 +132,16 @@ def refresh_personnel(
     contact: DataFrame,
 ) -> None:
     """Personnel actions and whether they led to the next stage."""
-    actions = personnel.personnel_activity(task, event, event_relation, user, territory, contact, store.settings)
     rows = store.read("lifecycle_full")
+    heavy = store.heavy(rows)
+    actions = personnel.personnel_activity(
+        task, event, event_relation, user, territory, contact, store.settings, heavy=heavy
+    )
 
     def build(rows: DataFrame, heavy: Heavy | None) -> DataFrame:
         return personnel.with_outlook(arrange(rows, heavy))
 
-    outlook = by_size([rows], store.heavy(rows), build)
+    outlook = by_size([rows], heavy, build)
     store.refresh("personnel_outcome", personnel.personnel_outcome(actions, outlook))
 
 

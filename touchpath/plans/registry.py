@@ -12,7 +12,7 @@ from touchpath.functions import columns as c
 from touchpath.functions import scans as s
 from touchpath.operators import cleaning, lifecycle, personnel, propensity, recommend, scores, timeline
 from touchpath.operators.dedup import keep_one
-from touchpath.operators.skew import Heavy, arrange, by_size, measure, use_checkpoints
+from touchpath.operators.skew import Heavy, add_contact, arrange, by_size, join_contact, measure, use_checkpoints
 from touchpath.settings import DEMOGRAPHICS, ModelSettings, Settings
 from touchpath.sources import fixtures as fx
 from touchpath.sources.tables import WEB_TRACKING_COLUMNS, project
@@ -29,9 +29,6 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str, settings: Settings = fx.SETTINGS):
         self.spark, self.folder, self.settings = spark, folder, settings
 
-    def activity(self, demographics: bool = False) -> DataFrame:
-        return fx.activity(self.spark, self.folder, demographics)
-
     def __getattr__(self, name: str) -> DataFrame:
         return getattr(fx, name)(self.spark, self.folder)
 
@@ -47,7 +44,7 @@ class Inputs:
 
     @property
     def heavy(self) -> Heavy | None:
-        return self._heavy("activity", self.activity)
+        return self._heavy("activity", lambda: self.activity)
 
     @property
     def heavy_dense(self) -> Heavy | None:
@@ -59,7 +56,20 @@ class Inputs:
 
     def both(self, build: Callable[..., DataFrame]) -> DataFrame:
         """Build from the activity log and the contacts."""
-        return by_size([self.activity(), self.contact], self.heavy, build)
+        return by_size([self.activity, self.contact], self.heavy, build)
+
+    def with_people(self, build: Callable[..., DataFrame]) -> DataFrame:
+        """Build from the activity log with its demographics."""
+
+        def whole(activity: DataFrame, people: DataFrame, heavy: Heavy | None) -> DataFrame:
+            return build(add_contact(activity, people, heavy), heavy=heavy)
+
+        return by_size([self.activity, self.people], self.heavy, whole)
+
+    @property
+    def full_activity(self) -> DataFrame:
+        """The activity log with its demographics, as one table."""
+        return join_contact(self.activity, self.people, self.heavy)
 
     def timeline(self, build: Callable[..., DataFrame]) -> DataFrame:
         def whole(activity: DataFrame, contact: DataFrame, heavy: Heavy | None) -> DataFrame:
@@ -92,7 +102,7 @@ class Inputs:
         def whole(activity: DataFrame, heavy: Heavy | None) -> DataFrame:
             return build(propensity.feature_rows(activity, self.fund_map, features, self.settings, heavy=heavy))
 
-        return by_size([self.activity(demographics=True)], self.heavy, whole)
+        return self.with_people(whole)
 
     def status(self) -> DataFrame:
         return self.lifecycle(lifecycle.current_status)
@@ -115,12 +125,13 @@ class Inputs:
         def whole(activity: DataFrame, history: DataFrame, heavy: Heavy | None) -> DataFrame:
             return scores.score_timeline(activity, history, self.fund_map, self.settings, heavy=heavy)
 
-        return by_size([self.activity(), self.score_history], self.heavy, whole)
+        return by_size([self.activity, self.score_history], self.heavy, whole)
 
     def actions(self) -> DataFrame:
         return personnel.personnel_activity(
-            self.task, self.event, self.event_relation, self.user, self.territory, self.contact, self.settings
-        )
+            self.task, self.event, self.event_relation, self.user, self.territory, self.contact, self.settings,
+            heavy=self.heavy,
+        )
 
 
 PLACE = ("contact_id", "activity_date", "branch", "seq")
@@ -130,19 +141,15 @@ PLACE = ("contact_id", "activity_date", "branch", "seq")
 
 
 def activity_filtered(i: Inputs) -> DataFrame:
-    return cleaning.filtered(i.activity(), i.settings).select("contact_id", "activity_type", "activity_date", "seq")
+    return cleaning.filtered(i.activity, i.settings).select("contact_id", "activity_type", "activity_date", "seq")
 
 
 def fund_normalised(i: Inputs) -> DataFrame:
-    return cleaning.with_normal_fund(i.activity(), i.fund_map).select("contact_id", "seq", "fund_code")
+    return cleaning.with_normal_fund(i.activity, i.fund_map).select("contact_id", "seq", "fund_code")
 
 
 def activity_clean(i: Inputs) -> DataFrame:
-    rows = by_size(
-        [i.activity(demographics=True)],
-        i.heavy,
-        lambda activity, heavy: cleaning.clean_activity(activity, i.fund_map, i.settings, heavy=heavy),
-    )
+    rows = i.with_people(partial(cleaning.clean_activity, fund_map=i.fund_map, settings=i.settings))
     return rows.select(
         "contact_id", "contact_name", "activity_type", "activity_date", "sales_amount", "fund_code",
         *[F.round(name, 6).alias(name) for name in DEMOGRAPHICS], "advisor_type", "additional_detail",
@@ -183,11 +190,11 @@ def content_catalog(i: Inputs) -> DataFrame:
 
 
 def journey_start(i: Inputs) -> DataFrame:
-    return timeline.journey_start(i.activity(), i.contact)
+    return timeline.journey_start(i.activity, i.contact)
 
 
 def contacts_without_activity(i: Inputs) -> DataFrame:
-    return timeline.contacts_without_activity(i.activity(), i.contact)
+    return timeline.contacts_without_activity(i.activity, i.contact)
 
 
 def present_day_rows(i: Inputs) -> DataFrame:
@@ -257,7 +264,7 @@ def _fund_rows(i: Inputs, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
         )
         return build(rows)
 
-    return by_size([i.activity(demographics=True)], i.heavy, whole)
+    return i.with_people(whole)
 
 
 def _shown_seq() -> Column:
@@ -420,7 +427,7 @@ def score_nearest(i: Inputs) -> DataFrame:
         wanted = activity.where(cleaning.wanted_type(i.settings)).select("contact_id", "activity_date", "seq")
         return scores.with_nearest_score(wanted, history, heavy=heavy)
 
-    rows = by_size([i.activity(), i.score_history], i.heavy, whole)
+    rows = by_size([i.activity, i.score_history], i.heavy, whole)
     return rows.select("contact_id", "activity_date", "seq", "process_date", "score")
 
 

@@ -62,14 +62,15 @@ def _order_in_log() -> Column:
     )
 
 
-def activity(spark: SparkSession, folder: str, demographics: bool = False) -> DataFrame:
+def activity(spark: SparkSession, folder: str) -> DataFrame:
+    """The activity log without the demographics that ``people`` holds."""
     lines, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
     details = F.array(*[F.lit(name) for name in DETAILS], F.lit(None), F.lit(None))
     link = F.when(F.col("l_orderkey") % 11 == 0, "https://www.example.com/learn/a").when(
         F.col("l_orderkey") % 11 == 1, "https://www.example.com/investments/b"
     )
     fund = F.when(F.col("l_partkey") % 7 == 0, "").otherwise(F.concat(F.lit("F"), F.col("l_partkey") % 7))
-    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         moved("o_custkey", 10).alias("contact_id"),
         _customer_name(moved("o_custkey", 10)).alias("contact_name"),
         _raw_type().alias("activity_type"),
@@ -83,10 +84,11 @@ def activity(spark: SparkSession, folder: str, demographics: bool = False) -> Da
         link.alias("link"),
         _order_in_log().alias("event_id"),
     )
-    if not demographics:
-        return rows
+
+def people(spark: SparkSession, folder: str) -> DataFrame:
+    """Demographics, which belong on every row of the activity log."""
     key = F.col("c_custkey")
-    people = table(spark, folder, "customer").select(
+    return table(spark, folder, "customer").select(
         key.alias("contact_id"),
         F.col("c_acctbal").alias("gdc"),
         (F.col("c_acctbal") * 100).alias("aum"),
@@ -97,7 +99,6 @@ def activity(spark: SparkSession, folder: str, demographics: bool = False) -> Da
             "advisor_type"
         ),
     )
-    return rows.join(people, "contact_id", "left")
 
 
 def _record_id_15(key: Column) -> Column:
