@@ -22,7 +22,7 @@ def connect(folder):
 
 def _plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 6) + 0.0
+        return None if math.isnan(value) else value + 0.0  # exact, but 0 has no sign
     if isinstance(value, decimal.Decimal):
         return value.normalize() + 0
     if isinstance(value, dt.datetime):

@@ -1,6 +1,8 @@
 import datetime as dt
 import glob
 
+from pyspark.sql import functions as F
+
 from touchpath import schemas
 from touchpath.sources import sinks, tables
 
@@ -56,3 +58,17 @@ def test_projection_reads_only_its_columns(spark, folder):
     assert len(frame.columns) == 8
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "event_type" not in plan and "value" not in plan
+
+
+def test_a_table_stored_by_contact_is_scanned_without_a_shuffle(spark, folder, tmp_path):
+    from touchpath.functions import scans
+    from touchpath.operators.skew import arrange
+    from touchpath.sources import fixtures
+
+    log = fixtures.dense_events(spark, folder)
+    sinks.full_refresh_table(log, "stored_log", buckets=8, path=str(tmp_path / "stored_log"))
+    stored = tables.read_table(spark, "stored_log")
+    rows = scans.with_scans(arrange(stored, None), {"n": scans.sum_within(F.lit(1), 7)})
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.count() == log.count()
+    spark.sql("DROP TABLE stored_log")

@@ -7,6 +7,7 @@ derivations read whole tables.
 from __future__ import annotations
 
 import datetime as dt
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,9 @@ DETAILS = ("KIT", "PRO", "PR", "education-center", "webinars", "our-funds")
 TASK_TYPES = {"VoiceMail": "Left Voicemail/Message with Assistant"}
 
 
+@lru_cache(maxsize=256)
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One of the given tables; its footer is read once per session."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -17,9 +17,21 @@ def full_refresh(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").parquet(path)
 
 
-def full_refresh_table(rows: DataFrame, name: str) -> None:
-    """Replace a catalog table by new contents."""
-    rows.write.mode("overwrite").saveAsTable(name)
+def full_refresh_table(rows: DataFrame, name: str, buckets: int | None = None, path: str | None = None) -> None:
+    """Replace a catalog table by new contents.
+
+    With ``buckets`` the table is stored by contact: scans and contact joins on it
+    then start without moving its rows.
+    """
+    if buckets is not None:
+        # one task per bucket, or every task would write a file into every bucket
+        rows = rows.repartition(buckets, "contact_id")
+    writer = rows.write.mode("overwrite")
+    if path is not None:
+        writer = writer.option("path", path)
+    if buckets is not None:
+        writer = writer.bucketBy(buckets, "contact_id").sortBy("contact_id")
+    writer.saveAsTable(name)
 
 
 def dated_snapshot(rows: DataFrame, path: str, day: dt.date, kind: str = "csv") -> None:
