@@ -18,21 +18,20 @@ def clean_type(raw: Column, names: dict[str, str]) -> Column:
 def record_id_18(record_id: Column) -> Column:
     """Case-safe 18-character form of a 15-character record id.
 
-    Each block of five characters yields one check character whose bits say
-    which of the five are upper-case. Any other length passes through.
+    Each block of five characters yields one check character, numbered by which
+    of the five are upper-case (the first one counts least). Any other length
+    passes through.
     """
+    capitals = CHECK_CHARACTERS[:26]
+    bits = F.translate(F.regexp_replace(record_id, "[^A-Z]", "0"), capitals, "1" * len(capitals))
 
-    def check(block: Column) -> Column:
-        bits = [
-            F.when(F.substr(record_id, block * 5 + i + 1, F.lit(1)).rlike("[A-Z]"), F.lit(1 << i)).otherwise(F.lit(0))
-            for i in range(5)
-        ]
-        return F.substr(F.lit(CHECK_CHARACTERS), sum(bits[1:], bits[0]) + 1, F.lit(1))
-
-    return F.when(
-        F.length(record_id) == 15,
-        F.concat(record_id, *[check(F.lit(block)) for block in range(3)]),
-    ).otherwise(record_id)
+    def check(block: int) -> Column:
+        number = F.conv(F.reverse(F.substring(bits, block * 5 + 1, 5)), 2, 10).cast("int")
+        return F.substr(F.lit(CHECK_CHARACTERS), number + 1, F.lit(1))
+
+    return F.when(F.length(record_id) == 15, F.concat(record_id, *[check(block) for block in range(3)])).otherwise(
+        record_id
+    )
 
 
 def journey_begin(first_activity: Column, created: Column) -> Column:

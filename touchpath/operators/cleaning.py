@@ -65,7 +65,7 @@ def clean_activity(
     rows = with_normal_fund(filtered(accepted(activity), settings), fund_map)
     rows = with_defaults(with_advisor_flag(rows), settings).withColumn("branch", F.lit(1))
     return arrange(
-        rows, heavy, ("contact_id", "activity_type", "activity_date", "fund_code", "additional_detail")
+        rows, heavy, ("contact_id", "activity_date", "activity_type", "fund_code", "additional_detail")
     )
 
 

@@ -47,7 +47,7 @@ class Rules:
 # fixed values: days an activity keeps a contact at a level
 LASTING = Rules(
     first_sale="first_sale_date_all",
-    distinct_by=("contact_id", "activity_type", "activity_date"),
+    distinct_by=("contact_id", "activity_date", "activity_type"),
     keep_last=True,
     kit_days=LONG,
     forum_days=LONG,
@@ -61,7 +61,7 @@ LASTING = Rules(
 )
 DECAYING = Rules(
     first_sale="first_sale_date_new",
-    distinct_by=("contact_id", "activity_type", "activity_date", "additional_detail"),
+    distinct_by=("contact_id", "activity_date", "activity_type", "additional_detail"),
     keep_last=False,
     kit_days=60,
     forum_days=180,

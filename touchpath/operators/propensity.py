@@ -88,7 +88,7 @@ def propensity_rows(
         )
     )
     rows = with_defaults(with_advisor_flag(real.unionByName(present)), settings)
-    repeats = ("contact_id", "activity_type", "activity_date", "fund_code", "additional_detail")
+    repeats = ("contact_id", "activity_date", "activity_type", "fund_code", "additional_detail")
     return arrange(rows, heavy, repeats if features.drop_repeats else ())
 
 

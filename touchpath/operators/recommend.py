@@ -141,17 +141,19 @@ def unseen_content(
 ) -> DataFrame:
     """Content of each contact's pool that the contact has not consumed, as one sorted list."""
     numbered = numbered_catalog(catalog)
-    pools = numbered.groupBy("pool").agg(
-        F.array_sort(F.collect_list(F.struct("place", "event_name"))).alias("items")
+    pools = (
+        numbered.groupBy("pool")
+        .agg(F.array_sort(F.collect_list(F.struct("place", "event_name"))).alias("items"))
+        .select("pool", F.col("items.place").alias("places"), F.col("items.event_name").alias("names"))
     )
-    left = F.array_except("items.place", "consumed")  # keeps the order of the first
+    left = F.array_except("places", "consumed")  # keeps the order of the first
     return (
         _with_pool(status, numbered, consumption)
         .join(if_small(pools), "pool", "left")
         .select(
             "contact_id",
             "contact_name",
-            F.array_join(F.transform(left, lambda place: F.col("items.event_name")[place]), ", ").alias("unseen_content"),
+            F.array_join(F.transform(left, lambda place: F.col("names")[place]), ", ").alias("unseen_content"),
             F.col("unseen").cast("bigint").alias("n_unseen"),
         )
     )

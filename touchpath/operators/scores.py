@@ -73,7 +73,7 @@ def score_timeline(
     )
     if heavy is None:
         rows = rows.repartition("contact_id")
-    rows = keep_one(rows, ["contact_id", "activity_type", "activity_date", "fund_code"])
+    rows = keep_one(rows, ["contact_id", "activity_date", "activity_type", "fund_code"])
     scored = with_nearest_score(rows, history.where(F.col("process_date") >= floor), heavy=heavy)
     return scored.select(
         "contact_id", "contact_name", "activity_type", "activity_date", "score", "event_id", "seq"
@@ -110,7 +110,7 @@ def activity_description(rows: DataFrame, settings: Settings) -> DataFrame:
         (F.col("activity_date") > F.date_sub(F.lit(settings.as_of), settings.recent_days))
         & F.col("activity_type").isin(*settings.described_types)
     )
-    lines = keep_one(recent, ["contact_id", "activity_type", "activity_date", "additional_detail"]).withColumn(
+    lines = keep_one(recent, ["contact_id", "activity_date", "activity_type", "additional_detail"]).withColumn(
         "_line", c.described(F.col("activity_type"), F.col("activity_date"), F.col("additional_detail"))
     )
     ordered = F.array_sort(F.collect_list(F.struct("activity_date", "branch", "seq", "_line")))

@@ -122,7 +122,7 @@ def timeline_rows(
     contact: DataFrame,
     settings: Settings,
     heavy: Heavy | None,
-    distinct_by: tuple[str, ...] = ("contact_id", "activity_type", "activity_date", "additional_detail"),
+    distinct_by: tuple[str, ...] = ("contact_id", "activity_date", "activity_type", "additional_detail"),
     keep_last: bool = False,
 ) -> DataFrame:
     """Cleaned rows of real activities and markers, without repeats, placed for scanning."""
