@@ -181,9 +181,11 @@ def test_medians_are_exact(spark, seed):
 
 
 def test_imputation_replaces_missing_and_non_positive(spark):
-    rows = spark.createDataFrame([(1, -4.0), (2, None), (3, 0.0), (4, 6.0), (5, 8.0)], "k int, a double")
+    rows = spark.createDataFrame(
+        [(1, -4.0), (2, None), (3, 0.0), (4, 6.0), (5, 8.0), (6, float("nan"))], "k int, a double"
+    )
     filled = propensity.impute_medians(rows, rows, ["a"])
-    assert {r.k: r.a for r in filled.collect()} == {1: 3.0, 2: 3.0, 3: 3.0, 4: 6.0, 5: 8.0}
+    assert {r.k: r.a for r in filled.collect()} == {1: 3.0, 2: 3.0, 3: 3.0, 4: 6.0, 5: 8.0, 6: 3.0}
 
 
 LOG = (

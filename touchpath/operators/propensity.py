@@ -175,7 +175,7 @@ def scoring_rows(rows: DataFrame) -> DataFrame:
 
 
 def exact_medians(rows: DataFrame, names: Sequence[str]) -> DataFrame:
-    """One row with the exact median of each column, nulls ignored.
+    """One row with the exact median of each column, missing values ignored.
 
     A built-in exact median gathers every distinct value in one task. Here the
     rows are reduced to counted values in one pass; about 200 edges then cut
@@ -184,7 +184,7 @@ def exact_medians(rows: DataFrame, names: Sequence[str]) -> DataFrame:
     need not be exact for the result to be.
     """
     long = rows.select(*[F.col(name).cast("double") for name in names]).unpivot([], list(names), "name", "value")
-    counted = long.where(F.col("value").isNotNull()).groupBy("name", "value").agg(F.count("*").alias("n"))
+    counted = long.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("name", "value").agg(F.count("*").alias("n"))
     cuts = [step / 200 for step in range(1, 200)]
     edges = counted.groupBy("name").agg(
         F.percentile_approx("value", cuts, 10_000).alias("edges"), F.sum("n").alias("total")
@@ -224,7 +224,7 @@ def impute_medians(rows: DataFrame, population: DataFrame, names: Sequence[str]
     medians = exact_medians(population, names).select(F.array(*names).alias("m")).scalar()
     return rows.withColumns(
         {
-            name: F.when(F.col(name) > 0, F.col(name).cast("double")).otherwise(medians[place])
+            name: F.when((F.col(name) > 0) & ~F.isnan(name), F.col(name).cast("double")).otherwise(medians[place])
             for place, name in enumerate(names)
         }
     )

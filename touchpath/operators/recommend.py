@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from touchpath.functions import columns as c
 from touchpath.operators.dedup import keep_one
-from touchpath.operators.skew import Heavy, if_small
+from touchpath.operators.skew import Heavy, if_small, is_small
 from touchpath.operators.timeline import timeline_rows
 from touchpath.settings import STEP_WINDOWS, Settings
 
@@ -122,10 +122,9 @@ def _with_pool(status: DataFrame, catalog: DataFrame, consumption: DataFrame) ->
     people = reachable(status).withColumn("pool", pool)
     consumed = (
         consumption.select("contact_id", "event_name")
-        .distinct()
         .join(if_small(catalog), "event_name")
         .groupBy("contact_id", "pool")
-        .agg(F.array_sort(F.collect_list("place")).alias("consumed"))
+        .agg(F.array_sort(F.collect_set("place")).alias("consumed"))
     )
     sizes = F.broadcast(catalog.groupBy("pool").agg(F.count("*").alias("size")))  # two pools, two rows
     return (
@@ -149,7 +148,7 @@ def unseen_content(
     left = F.array_except("places", "consumed")  # keeps the order of the first
     return (
         _with_pool(status, numbered, consumption)
-        .join(if_small(pools), "pool", "left")
+        .join(F.broadcast(pools) if is_small(numbered) else pools, "pool", "left")
         .select(
             "contact_id",
             "contact_name",

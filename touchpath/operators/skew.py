@@ -97,9 +97,14 @@ def join_contact(rows: DataFrame, contact: DataFrame, heavy: Heavy | None, how:
     return by_size([rows, contact], heavy, partial(add_contact, how=how))
 
 
+def is_small(table: DataFrame) -> bool:
+    """Whether a table has few enough rows to be broadcast; counts no further than that."""
+    return table.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS
+
+
 def if_small(side: DataFrame) -> DataFrame:
     """Broadcast a join side after counting that it is small; otherwise leave the join to the planner."""
-    return F.broadcast(side) if side.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else side
+    return F.broadcast(side) if is_small(side) else side
 
 
 def use_checkpoints(spark: SparkSession) -> None:
