@@ -20,11 +20,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from touchpath.llm.common import utf8
+from touchpath.llm.common import portions, utf8
 
 # bounds of what one Python worker keeps: pieces and checked token pairs
-MOST_PIECES = 250_000
-MOST_PAIRS = 1_000_000
+MOST_PIECES = 100_000
+MOST_PAIRS = 400_000
 
 # bytes after which the tokens that are certain leave the memory
 EMIT_EVERY = 4_096
@@ -319,7 +319,7 @@ def encode(documents: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _once(Encoder, file.value, pattern)
-        for batch in batches:
+        for batch in portions(batches):
             ids = [encoder.encode(text or "") for text in batch.column(1).to_pylist()]
             counts = pa.array([len(i) // 4 for i in ids], pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -341,7 +341,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _once(Decoder, file.value)
-        for batch in batches:
+        for batch in portions(batches):
             texts = [b"".join(decoder.stream(ids)) for ids in utf8(batch.column(2))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*columns, "decoded"])
 

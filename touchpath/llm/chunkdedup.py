@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchpath.llm.common import utf8, written
+from touchpath.llm.common import portions, utf8, written
 
 LEAST, MOST = 32, 256  # bytes of a chunk; the last of a text may be shorter
 BITS = 5  # upper bits that are zero at a border: one in 32 bytes
@@ -54,7 +54,7 @@ def chunks(documents: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
-        for batch in batches:
+        for batch in portions(batches):
             ids, starts, ends, digests = [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
                 own = cuts(text)
@@ -148,7 +148,7 @@ def passages(documents: DataFrame, words: int = 50) -> DataFrame:
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             rows = []
             ids, firsts, places = (batch.column(i).to_pylist() for i in (0, 1, 2))
             for doc_id, first_id, at, text, first in zip(ids, firsts, places, utf8(batch.column(3)), utf8(batch.column(4))):
@@ -171,7 +171,7 @@ def without_passages(documents: DataFrame, found: DataFrame) -> DataFrame:
     at = names.index("text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             texts = []
             for text, cut in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist()):
                 if cut:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 import numpy as np
 import pyarrow as pa
@@ -68,6 +68,13 @@ def extended(schema: StructType, **kinds: DataType) -> StructType:
     return StructType([*schema.fields, *[StructField(name, kind) for name, kind in kinds.items()]])
 
 
+def portions(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what Python holds of them at once stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The values of a string column as UTF-8 bytes; null is empty."""
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 from pyspark.sql.window import Window
 
-from touchpath.llm.common import extended, utf8
+from touchpath.llm.common import extended, portions, utf8
 
 UNDETERMINED = "und"
 
@@ -251,7 +251,7 @@ def predict(documents: DataFrame, network: Network) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network = model.value
-        for batch in batches:
+        for batch in portions(batches):
             texts = utf8(batch.column(at))
             letters = [bool(network.languages) and _letter(text.decode()) is not None for text in texts]
             found = network.predict([text if ok else b"" for text, ok in zip(texts, letters)])

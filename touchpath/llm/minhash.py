@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchpath.llm.common import mix64, utf8, written
+from touchpath.llm.common import mix64, portions, utf8, written
 from touchpath.llm.graph import components
 from touchpath.llm.shingles import joined, shingle_set
 
@@ -70,7 +70,7 @@ def sketch(documents: DataFrame, shingle: int, bands: int = BANDS, rows: int = R
     """``doc_id, n_shingles, class, buckets``: class names the shingle set, null if empty."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             sets = [shingle_set(text, shingle) for text in utf8(batch.column(1))]
             full = [i for i, hashes in enumerate(sets) if len(hashes)]
             marks = signatures([sets[i] for i in full], bands * rows)
@@ -94,7 +94,7 @@ def _full_sets(documents: DataFrame, wanted: DataFrame, shingle: int) -> DataFra
     """``class, shingles`` of the classes in ``wanted``, made again from one text of each."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             sets = [shingle_set(text, shingle) for text in utf8(batch.column(1))]
             classes = [xxhash.xxh3_64_intdigest(hashes.tobytes()) - 2**63 for hashes in sets]
             yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), _lists(sets)], ["class", "shingles"])

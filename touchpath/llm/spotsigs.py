@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from touchpath.llm.common import utf8, written
+from touchpath.llm.common import portions, utf8, written
 from touchpath.llm.shingles import joined, word_hashes
 
 # fixed values: common words of the languages met
@@ -137,7 +137,7 @@ def neighbours(documents: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the row whose next is not known yet
         part, first_id, first_text = None, None, None
-        for batch in batches:
+        for batch in portions(batches):
             rows = []
             for doc_id, text, part in zip(*[column.to_pylist() for column in batch.columns]):
                 signs = signatures(text.encode())
@@ -161,7 +161,7 @@ def neighbours(documents: DataFrame) -> DataFrame:
     closed = edges.withColumn("next_part", following).join(heads, "next_part").select("doc_id", "last_text", "next_text")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             rows = []
             for doc_id, text, following in zip(*[column.to_pylist() for column in batch.columns]):
                 rows.append(_row(doc_id, text, signatures(text.encode()), following, signatures(following.encode())))
@@ -178,7 +178,7 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             sets = [signatures(text) for text in utf8(batch.column(1))]
             lists = pa.array([signs.view(np.int64) for signs in sets], pa.list_(pa.int64()))
             parts = pa.array([partition_of(len(signs), 0.8) for signs in sets], pa.int32())
