@@ -60,7 +60,17 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = new_path(spark, name)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    table = spark.read.schema(frame.schema).parquet(path)
+    table._written_at = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table._written_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def extended(schema: StructType, **kinds: DataType) -> StructType:

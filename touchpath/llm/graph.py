@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchpath.llm.common import written
+from touchpath.llm.common import release, written
 
 
 def _nearest(edges: DataFrame) -> DataFrame:
@@ -41,7 +41,8 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == before or mark[0] == 0:
             break
         before = mark
-        now = written(_small_star(_large_star(now)), "edges")
+        last, now = now, written(_small_star(_large_star(now)), "edges")
+        release(last)
     roots = now.select(F.col("b").alias("node")).distinct()
     found = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return found.unionAll(roots.select("node", F.col("node").alias("component")))

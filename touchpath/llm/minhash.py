@@ -5,10 +5,10 @@ function serves all bins. Empty bins borrow from full ones by a probing sequence
 densification), so that small sets have independent bins, too. Bands of bins name the buckets.
 
 Texts with equal sets are one class from the start. In each bucket only a star is checked: the smallest class
-against the others, on their full sets. A bucket whose members are not all connected by then is looked at again
-with two further centres, then four, and so on, so that no link between members of a bucket is lost and yet no
-bucket is listed pair by pair: rounds grow with the logarithm of a bucket's size, and a bucket of true copies ends
-after the first.
+against the others, on their full sets. A bucket whose members are not all connected by then is cut by their
+distances from the centre, which tell most of the others apart, and looked at again with eight further centres per
+part, then 64, and so on, so that no link between members of a bucket is lost and yet no bucket is listed pair by
+pair: rounds grow with the logarithm of a bucket's size, and a bucket of true copies ends after the first.
 """
 
 from __future__ import annotations
@@ -21,12 +21,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchpath.llm.common import mix64, portions, utf8, written
+from touchpath.llm.common import mix64, portions, release, utf8, written
 from touchpath.llm.graph import components
 from touchpath.llm.shingles import joined, shingle_set
 
-# a pair at the limit of 0.8 shares no bucket with a probability of (1 - 0.8^5)^48, about 5e-9
-BANDS, ROWS = 48, 5
+# a pair at the limit of 0.8 shares no bucket with a probability of (1 - 0.8^8)^100, about 1e-8, while of pairs at
+# 0.3, which a common passage makes, fewer than one in a hundred shares one
+BANDS, ROWS = 100, 8
 
 _EMPTY = np.uint64(2**64 - 1)
 
@@ -106,13 +107,34 @@ def _full_sets(documents: DataFrame, wanted: DataFrame, shingle: int) -> DataFra
     return made.join(wanted.select("class"), "class", "left_semi").dropDuplicates(["class"])
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose full sets are alike enough."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` with the distance of their full sets (1 - Jaccard), and whether they are alike enough."""
     one = sets.select(F.col("class").alias("a"), F.col("shingles").alias("left"))
     two = sets.select(F.col("class").alias("b"), F.col("shingles").alias("right"))
     shared = F.size(F.array_intersect("left", "right")).alias("shared")
-    sized = pairs.join(one, "a").join(two, "b").select("a", "b", F.size("left").alias("m"), F.size("right").alias("n"), shared)
-    return sized.where(100 * F.col("shared") >= percent * (F.col("m") + F.col("n") - F.col("shared"))).select("a", "b")
+    union = (F.size("left") + F.size("right") - F.size(F.array_intersect("left", "right"))).alias("union")
+    sized = pairs.join(one, "a").join(two, "b").select("a", "b", shared, union)
+    linked = 100 * F.col("shared") >= percent * F.col("union")
+    return sized.select("a", "b", (1 - F.col("shared") / F.col("union")).alias("distance"), linked.alias("linked"))
+
+
+def _by_distance(members: DataFrame, centres: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
+    """Buckets cut by the members' distance from the centre.
+
+    Jaccard distance is a metric: two members are alike only if their distances from the centre differ by no more
+    than the limit. Each member goes to the range of its distance and to the next one, so that such members meet.
+    Those that were not compared, as their sizes exclude a link, go to all ranges but the first.
+    """
+    limit = 1 - percent / 100 + 1e-9
+    most = int(1 / limit) + 1
+    known = members.join(centres.select("bucket", "centre"), "bucket").select(
+        "*", F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")
+    )
+    known = known.join(compared.select("a", "b", "distance"), ["a", "b"], "left")
+    place = F.floor(F.col("distance") / limit).cast("int")
+    ranges = F.when(place.isNull(), F.sequence(F.lit(1), F.lit(most))).otherwise(F.array(place, place + 1))
+    dealt = known.select("class", "n", "bucket", F.explode(ranges).alias("range"))
+    return dealt.select("class", "n", F.xxhash64("bucket", "range").alias("bucket"))
 
 
 def _pairs(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
@@ -148,18 +170,23 @@ def classes_and_links(documents: DataFrame, shingle: int = 5, percent: int = 80)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
-        new = written(_linked(pairs, sets, percent), "links")
+        compared = written(_compared(pairs, sets, percent), "compared")
         tested = pairs if tested is None else tested.unionAll(pairs)
-        links = new if links is None else links.unionAll(new)
-        found = written(components(links), "components")
+        new = compared.where("linked").select("a", "b")
+        if found is None or not new.isEmpty():
+            links = new if links is None else links.unionAll(new)
+            found = written(components(links), "components")
         # pairs among the members that have not been centres are open where their components differ
         used = centres.select("bucket", F.col("centre").alias("class"))
         left = members.drop("component").join(used, ["bucket", "class"], "left_anti")
+        if slots == 1:
+            left = _by_distance(left, centres, compared, percent)
         left = left.join(found.withColumnRenamed("node", "class"), "class", "left")
-        left = left.withColumn("component", F.coalesce("component", "class"))
+        left = written(left.withColumn("component", F.coalesce("component", "class")), "left")
         apart = left.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        members = written(left.join(apart.where("low <> high").select("bucket"), "bucket", "left_semi"), "members")
-        slots *= 2
+        last, members = members, written(left.join(apart.where("low <> high").select("bucket"), "bucket", "left_semi"), "members")
+        release(last, left, centres)
+        slots *= 8
     if found is None:
         found = classes.limit(0).select(F.col("class").alias("node"), F.col("class").alias("component"))
     return rows, classes.select("class", "first_id"), found
