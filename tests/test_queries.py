@@ -7,15 +7,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from touchpath.plans import registry
+from touchpath.plans import oracle, registry
 from touchpath.sources import fixtures as fx
 
-ORACLE = entry.oracle_sql()
+ORACLE = oracle.oracle_sql()
 
 
 def test_only_the_model_lacks_a_twin():
-    assert set(entry.queries()) - set(ORACLE) == {"propensity_score"}
-    assert set(ORACLE) <= set(entry.queries())
+    assert set(registry.queries()) - set(ORACLE) == {"propensity_score"}
+    assert set(ORACLE) <= set(registry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -65,6 +65,8 @@ def test_spread_contacts_match_sql(spark, skewed, name):
     inputs = registry.Inputs(spark, skewed, dataclasses.replace(fx.SETTINGS, rows_per_task=100))
     assert 7 in {row.contact_id for row in inputs.heavy.contacts.collect()} and inputs.heavy.tasks > 15
     frame = getattr(registry, name)(inputs)
+    plain = getattr(registry, name)(registry.Inputs(spark, skewed, fx.SETTINGS))
+    assert dict(frame.dtypes) == dict(plain.dtypes)
     assert compare.difference(frame, ORACLE[name], compare.connect(skewed)) is None
 
 

@@ -15,6 +15,11 @@ def clean_type(raw: Column, names: dict[str, str]) -> Column:
     return F.coalesce(F.element_at(lookup, raw), raw)
 
 
+def padded(text: Column, width: int) -> Column:
+    """Text filled with zeros on the left to ``width`` characters; longer text stays whole."""
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def record_id_18(record_id: Column) -> Column:
     """Case-safe 18-character form of a 15-character record id.
 

@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 from pyspark.sql.window import Window, WindowSpec
 
 KEY = "contact_id"
@@ -168,6 +169,9 @@ def _zero(total: Column) -> Column:
 
 def _by_cells(rows: DataFrame, scans: dict[str, Scan]) -> DataFrame:
     kept = rows.columns
+    # sums of sums are wider than sums: they get the types they have in one task
+    sums = {name: scan for name, scan in scans.items() if scan.kind in ("running_sum", "sum_within", "sum_ahead")}
+    kinds = {field.name: field.dataType for field in _by_contact(rows, sums).schema}
     valued = {name: scan for name, scan in scans.items() if scan.value is not None}
     rows = rows.withColumns({f"_x_{name}": scan.value for name, scan in valued.items()})
 
@@ -188,7 +192,7 @@ def _by_cells(rows: DataFrame, scans: dict[str, Scan]) -> DataFrame:
     result = joined.select(
         *kept,
         *[
-            _combine(scan, F.col(f"_l_{name}"), F.col(f"_c_{name}"), F.col(f"_x_{name}")).alias(name)
+            _typed(_combine(scan, F.col(f"_l_{name}"), F.col(f"_c_{name}"), F.col(f"_x_{name}")), kinds.get(name)).alias(name)
             for name, scan in scans.items()
         ],
     )
@@ -196,6 +200,10 @@ def _by_cells(rows: DataFrame, scans: dict[str, Scan]) -> DataFrame:
     return result.checkpoint()
 
 
+def _typed(value: Column, kind: DataType | None) -> Column:
+    return value if kind is None else value.cast(kind)
+
+
 def _summary(scan: Scan, x: Column) -> Column:
     place = F.struct(*POSITION)
     match scan.kind:

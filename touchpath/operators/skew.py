@@ -1,8 +1,7 @@
 """Keep heavy contacts out of single tasks.
 
-``measure`` finds the contacts whose log is too long for one task. Their number
-is bounded (see ``MOST_HEAVY``), so the list is safe to collect and broadcast.
-``by_size`` then builds a result twice: for the ordinary contacts, hash
+``measure`` finds the contacts whose log is too long for one task. Their list is
+a table, broadcast only after its size has been checked. ``by_size`` then builds a result twice: for the ordinary contacts, hash
 partitioned by contact, and for the heavy ones, spread over tasks by
 ``arrange``. With no heavy contact the second build does not exist.
 """
@@ -21,12 +20,6 @@ from pyspark.sql import functions as F
 from touchpath.functions.scans import CHUNK, KEY, POSITION
 from touchpath.operators.dedup import keep_one
 
-# at most this many contacts can each hold more than 1/MOST_HEAVY of all rows
-MOST_HEAVY = 10_000
-
-# ranges a heavy log is cut into at most; beyond that each range grows
-MOST_RANGES = 20_000
-
 # a join side with no more rows is broadcast
 SMALL_ROWS = 100_000
 
@@ -41,26 +34,23 @@ class Heavy:
 
     @property
     def tasks(self) -> int:
-        return min(MOST_RANGES, max(2, math.ceil(self.rows / self.rows_per_task)))
+        return max(2, math.ceil(self.rows / self.rows_per_task))
 
 
 def measure(activity: DataFrame, rows_per_task: int) -> Heavy | None:
     """Heavy contacts of a log, or None. One count per contact, combined before the shuffle."""
     counts = activity.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.count("*").alias("n"))
-    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
-    limit = max(rows_per_task, (total or 0) // MOST_HEAVY)
-    if largest is None or largest <= limit:
-        return None
-    found = counts.where(F.col("n") > limit).collect()  # fewer than total / limit <= MOST_HEAVY rows
-    contacts = activity.sparkSession.createDataFrame([(row[KEY],) for row in found], activity.select(KEY).schema)
-    return Heavy(contacts, sum(row["n"] for row in found), rows_per_task)
+    use_checkpoints(activity.sparkSession)
+    found = counts.where(F.col("n") > rows_per_task).checkpoint()
+    rows = found.agg(F.sum("n")).first()[0]
+    return Heavy(found.select(KEY), rows, rows_per_task) if rows else None
 
 
 def by_size(tables: Sequence[DataFrame], heavy: Heavy | None, build: Callable[..., DataFrame]) -> DataFrame:
     """``build(*tables, heavy=None)`` over ordinary contacts, plus ``build(*tables, heavy=heavy)`` over the rest."""
     if heavy is None:
         return build(*tables, heavy=None)
-    listed = F.broadcast(heavy.contacts)
+    listed = if_small(heavy.contacts)
     ordinary = [table.join(listed, KEY, "left_anti") for table in tables]
     spread = [table.join(listed, KEY, "left_semi") for table in tables]
     return build(*ordinary, heavy=None).unionByName(build(*spread, heavy=heavy).drop(CHUNK))
@@ -88,8 +78,8 @@ def arrange(
 
 
 def add_contact(rows: DataFrame, contact: DataFrame, heavy: Heavy | None, how: str = "left") -> DataFrame:
-    """Join contact attributes to rows that ``by_size`` has split. Those of heavy contacts are few by construction."""
-    return rows.join(F.broadcast(contact) if heavy else contact, KEY, how)
+    """Join contact attributes to rows that ``by_size`` has split."""
+    return rows.join(if_small(contact) if heavy else contact, KEY, how)
 
 
 def join_contact(rows: DataFrame, contact: DataFrame, heavy: Heavy | None, how: str = "left") -> DataFrame:
@@ -108,13 +98,14 @@ def if_small(side: DataFrame) -> DataFrame:
 
 
 def use_checkpoints(spark: SparkSession) -> None:
-    """Make sure checkpoints go to the cluster's shared folder."""
+    """Make sure checkpoints go to the cluster's shared folder. Only a session on one machine may do without the
+    setting; it gets a temporary folder."""
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="touchpath-")
     context.setCheckpointDir(folder)

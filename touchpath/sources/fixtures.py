@@ -12,7 +12,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchpath.functions.columns import record_id_18
+from touchpath.functions.columns import padded, record_id_18
 from touchpath.settings import ACTIVITY_TYPES, Settings
 
 SETTINGS = Settings(
@@ -41,7 +41,7 @@ def moved(key: str, modulus: int) -> Column:
 
 
 def _customer_name(key: Column) -> Column:
-    return F.concat(F.lit("Customer#"), F.lpad(key.cast("string"), 9, "0"))
+    return F.concat(F.lit("Customer#"), padded(key.cast("string"), 9))
 
 
 def _raw_type() -> Column:
@@ -60,8 +60,8 @@ def _order_in_log() -> Column:
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     return F.concat_ws(
         "-",
-        *[F.lpad(F.col(name).cast("string"), width, "0") for name, width in parts],
-        F.lpad(cents.cast("string"), 12, "0"),
+        *[padded(F.col(name).cast("string"), width) for name, width in parts],
+        padded(cents.cast("string"), 12),
     )
 
 
