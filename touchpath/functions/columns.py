@@ -50,7 +50,7 @@ def matches(text: Column, pattern: str) -> Column:
 
 
 def change_label(before: Column, after: Column) -> Column:
-    return F.concat_ws("-->", before, after)
+    return F.concat_ws("-->", before, after)  # fixed value: the form of a label
 
 
 def described(activity_type: Column, day: Column, detail: Column) -> Column:

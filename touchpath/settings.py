@@ -154,6 +154,7 @@ class Settings:
     """Dates, thresholds and vocabulary of one run."""
 
     as_of: dt.date
+    # fixed values: floors and spans that results must reproduce exactly
     year_floor: dt.date = dt.date(2012, 1, 1)  # activities on or after
     feature_floor: dt.date = dt.date(2013, 12, 31)  # features after
     training_floor: dt.date = dt.date(2014, 12, 31)  # training rows after
@@ -162,6 +163,7 @@ class Settings:
     label_days: int = 35
     recent_days: int = 21
     timeline_rows: int = 15
+    # end of fixed values
     type_names: dict[str, str] = field(default_factory=_spaced_names)
     excluded_types: tuple[str, ...] = EXCLUDED_TYPES
     learn_pattern: str = "www.example.com/learn"
@@ -180,6 +182,7 @@ class Settings:
 class ModelSettings:
     """Boosted-tree parameters (the defaults are the second model's; the first one's trees are 10 deep)."""
 
+    # fixed values: the parameters of the model that results follow
     rounds: int = 10_000
     step_size: float = 0.001
     max_depth: int = 11
