@@ -203,6 +203,25 @@ def test_colliding_surrogates_are_told_apart(spark, monkeypatch):
     assert len(set(found)) == 9 and not any(f"user{i}@" in text for i, text in enumerate(found))
 
 
+def test_entities_without_a_free_replacement_of_their_length(spark, monkeypatch):
+    calls, write = [], pii.written
+
+    def counted(frame, name):
+        calls.append(name)
+        assert len(calls) < 40, "no end"
+        return write(frame, name)
+
+    monkeypatch.setattr(pii, "written", counted)
+    monkeypatch.setattr(pii, "_LATIN", ["ba", "be"])  # 8 words of three syllables
+    names = [f"Mr {a}{b} came" for a in ("Kal", "Rud", "Tom", "Wil") for b in ("an", "en", "in", "on", "un")]
+    texts = [f"token={i} x" for i in range(10)] + ["password=*** x", "password=пароль x", "password=密码 x"] + names
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [row.text for row in pii.replace(rows).orderBy("doc_id").collect()]
+    real, new = ([re.split("[= ]", text)[1] for text in some] for some in (texts, found))
+    assert len(set(new)) == len(new) and not set(new) & set(real)
+    assert re.fullmatch(r"password=[а-я]+\w* x", found[11]) and "密" not in found[12] and "*" not in found[10]
+
+
 def test_spots_and_edited_texts(documents):
     texts = {row.doc_id: row.text for row in documents.collect()}
     ids = sorted(texts)

@@ -7,6 +7,7 @@ plain form, so that one entity has one replacement throughout, however it is wri
 
 Distinct entities shall have distinct replacements, and none may be an entity that occurs. The replacements of all
 distinct entities are compared; whoever collides, but for the first, gets that of another attempt, until none does.
+Later attempts choose among more replacements (longer ones), so that a free one is always found.
 Such exceptions are a table that is joined by entity; all others are replaced in place. Only DataFrame functions.
 """
 
@@ -38,6 +39,8 @@ _HINT = rf"[0-9@]|password=|token=|(?:{'|'.join(MEN + WOMEN)})\.? \p{{Lu}}"
 _LATIN = "ba be bi bo da de di do fa fe ga go ha he ja jo ka ko la le li lo ma me mi mo na ne ni no pa pe ra re ri ro sa se ta te ti to va vi".split()
 _CYRILLIC = "ба бе би бо ва ве ви во га го да де ди до ка ке ки ко ла ле ли ло ма ме ми мо на не ни но па по ра ре ри ро са се та те ти то".split()
 
+_CAPITALS = "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ"
+
 
 def matches_of(text: Column) -> Column:
     return F.when(text.rlike(_HINT), F.regexp_extract_all(text, F.lit(_ANY), F.lit(0))).otherwise(
@@ -87,20 +90,31 @@ def _pick(choices: list[str], number: Column) -> Column:
 
 
 def _recast(entity: Column, stream: Column) -> Column:
-    """Letters for letters and digits for digits, in their case and script; everything else stays."""
+    """Letters for letters and digits for digits, in their case; everything else stays. Cyrillic stays Cyrillic, letters
+    of other scripts become Latin; so does everything where there is no letter and no digit."""
     characters = F.filter(F.split(entity, ""), lambda c: c != "")
+    bare = ~entity.rlike(r"[\p{L}\p{N}]")
 
     def change(c: Column, i: Column) -> Column:
         return (
             F.when(c.rlike("[0-9]"), _number(stream, i, 10).cast("string"))
             .when(c.rlike("[a-z]"), F.char(_number(stream, i, 26) + 97))
             .when(c.rlike("[A-Z]"), F.char(_number(stream, i, 26) + 65))
+            .when(c.rlike(r"(?=\p{IsCyrillic})\p{Lu}"), F.substring(F.lit(_CAPITALS), _number(stream, i, 32) + 1, F.lit(1)))
+            .when(c.rlike(r"\p{IsCyrillic}"), F.substring(F.lit(_CAPITALS.lower()), _number(stream, i, 32) + 1, F.lit(1)))
+            .when(c.rlike(r"\p{N}"), _number(stream, i, 10).cast("string"))
+            .when(bare | c.rlike(r"\p{L}"), F.char(_number(stream, i, 26) + 97))
             .otherwise(c)
         )
 
     return F.array_join(F.transform(characters, change), "")
 
 
+def _more(stream: Column, attempt: Column) -> Column:
+    """What later attempts append: nothing up to the third, then 8 hexadecimal digits, 4 more each time, 28 at most."""
+    return F.when(attempt > 3, F.substring(stream, F.lit(101), F.least(attempt * 4 - 8, F.lit(28)))).otherwise("")
+
+
 def _digits_from(entity: Column, digits: Column, kept: Column) -> Column:
     """The digits of ``entity`` replaced by ``digits``, aligned at the end, the first ``kept`` left."""
     characters = F.filter(F.split(entity, ""), lambda c: c != "")
@@ -140,12 +154,17 @@ def surrogate(secret: str, kind: Column, gender: Column, entity: Column, attempt
 
     def by_stream(stream: Column) -> Column:
         digits = bound(F.regexp_replace(entity, r"\D", ""), lambda d: _number_like(kind, entity, d, stream))
+        # a text of ten digits and separators has few forms: later attempts append digits. No table fills those of cards
+        spare = F.when(attempt > 7, F.translate(_more(stream, attempt), "abcdef", "012345")).otherwise("")
+        digits = F.when(kind == "card", digits).otherwise(F.concat(digits, spare))
         ip = F.concat_ws(".", *[(_number(stream, i, 223) + 1).cast("string") for i in range(4)])
+        ip = F.when(attempt > 7, F.concat_ws(":", F.lit("2001:db8"), *[F.substring(stream, 4 * i + 1, 4) for i in range(6)])).otherwise(ip)
         choice = F.when(kind.isin("card", "ssn", "phone"), digits).when(kind == "ip", ip)
-        choice = choice.when(kind == "email", _email(entity, stream, attempt)).when(kind == "name", _name(entity, gender, stream))
+        name = _name(entity, gender, stream, attempt)
+        choice = choice.when(kind == "email", _email(entity, stream, attempt)).when(kind == "name", name)
         same = F.when(entity.rlike("^[0-9a-f]{16,128}$"), F.substring(stream, F.lit(1), F.length(entity)))
         same = same.when(entity.startswith("AKIA"), F.concat(F.lit("AKIA"), _recast(F.substring(entity, 5, 1000), stream)))
-        return choice.otherwise(same.otherwise(_recast(entity, stream)))
+        return choice.otherwise(F.concat(same.otherwise(_recast(entity, stream)), _more(stream, attempt)))
 
     return bound(_stream(secret, kind, plain_form(kind, entity), attempt), by_stream)
 
@@ -165,19 +184,23 @@ def _number_like(kind: Column, entity: Column, digits: Column, stream: Column) -
 
 def _email(entity: Column, stream: Column, attempt: Column) -> Column:
     local, domain = F.substring_index(F.lower(entity), "@", 1), F.substring_index(F.lower(entity), "@", -1)
-    # after a few attempts a short address has no free replacement left: a longer one
-    longer = F.when(attempt > 3, F.substring(stream, 101, 8)).otherwise("")
+    longer = _more(stream, attempt)  # a short address may have no free replacement of its length
     other = bound(F.reverse(stream), lambda back: _recast(F.substring_index(domain, ".", 1), back))
     return F.concat(_recast(local, stream), longer, F.lit("@"), other, F.lit(".example.org"))
 
 
-def _name(entity: Column, gender: Column, stream: Column) -> Column:
-    def one(part: Column, i: Column) -> Column:
-        def syllables(choices: list[str]) -> list[Column]:
-            return [_pick(choices, _number(stream, i * 5 + j, len(choices))) for j in range(3)]
+def _name(entity: Column, gender: Column, stream: Column, attempt: Column) -> Column:
+    """Words of three syllables, and of one more with each attempt up to ten."""
 
-        latin = F.concat(*syllables(_LATIN), F.when(gender == "f", F.lit("na")).otherwise(F.lit("r")))
-        cyrillic = F.concat(*syllables(_CYRILLIC), F.when(gender == "f", F.lit("на")).otherwise(F.lit("р")))
+    def one(part: Column, i: Column) -> Column:
+        def syllables(choices: list[str]) -> Column:
+            picked = [_pick(choices, _number(stream, i * 5 + j, len(choices))) for j in range(3)]
+            places = F.sequence(F.lit(3), F.least(attempt, F.lit(7)) + 2)
+            more = F.array_join(F.transform(places, lambda j: _pick(choices, _number(stream, i * 5 + j, len(choices)))), "")
+            return F.concat(*picked, F.when(attempt > 0, more).otherwise(""))
+
+        latin = F.concat(syllables(_LATIN), F.when(gender == "f", F.lit("na")).otherwise(F.lit("r")))
+        cyrillic = F.concat(syllables(_CYRILLIC), F.when(gender == "f", F.lit("на")).otherwise(F.lit("р")))
         return F.initcap(F.when(part.rlike(r"\p{IsCyrillic}"), cyrillic).otherwise(latin))
 
     return F.array_join(F.transform(F.split(entity, " "), one), " ")
