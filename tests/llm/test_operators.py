@@ -255,6 +255,22 @@ def test_repeated_passages_by_brute_force(documents):
     assert chunkdedup.without_passages(documents, found).count() == len(texts)
 
 
+def test_short_words_in_many_contexts(spark):
+    rng = np.random.default_rng(3)
+
+    def some(count):
+        return [chr(97 + i) + chr(97 + j) * k for i, j, k in rng.integers(0, [26, 26, 3], (count, 3))]
+
+    texts = {}
+    for pair in range(300):
+        shared = some(51)
+        for i in (2 * pair, 2 * pair + 1):
+            texts[i] = " ".join(some(rng.integers(0, 90)) + [f"{i}"] + shared + [f"{i}"] + some(rng.integers(0, 90)))
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = chunkdedup.passages(rows).collect()
+    assert {(row.doc_id, row.first_doc_id) for row in found if row.n_words == 51} == {(2 * i + 1, 2 * i) for i in range(300)}
+
+
 def test_archives(spark, folder):
     pages = spark.read.parquet(f"{folder}/pages.parquet")
     odd = "page_id long, url string, html string"

@@ -1,9 +1,10 @@
 """Passages that repeat across documents, by content-defined chunks.
 
-A gear hash rolls over a text's bytes; where its upper bits are zero a chunk may end, so that the borders depend on
-the bytes just before them and come again after an insertion. Chunks are compared by digest: of each digest that
-several documents hold, the first place (smallest doc_id, then offset) keeps it. Chunks lie inside a passage, so
-each shared chunk is then extended in both texts as far as they agree, and runs of enough words are passages.
+A gear hash rolls over a text's bytes. Of the runs of half a passage's words, each passage's worth of words chooses the
+one whose last bytes hash lowest: a chunk. The choice depends on nothing else, so that two documents that share a
+passage have a chunk of it in common, at the same place in it, whatever stands around. Chunks are compared by digest:
+of each digest that several documents hold, the first place (smallest doc_id, then offset) keeps it. Each shared chunk
+is then extended in both texts as far as they agree, and runs of enough words are passages.
 """
 
 from __future__ import annotations
@@ -19,59 +20,65 @@ from pyspark.sql import functions as F
 
 from touchpath.llm.common import portions, utf8, written
 
-LEAST, MOST = 32, 256  # bytes of a chunk; the last of a text may be shorter
-BITS = 5  # upper bits that are zero at a border: one in 32 bytes
-
 _GEAR = np.array([random.Random(byte).getrandbits(32) for byte in range(256)], np.uint32)
+_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\f\r"))
+
 
+def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a text."""
+    edges = np.diff(np.concatenate([[True], _BLANK[data], [True]]).astype(np.int8))
+    return np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
 
-def cuts(data: bytes) -> list[int]:
-    """Ends of the chunks of a text."""
-    gear = _GEAR[np.frombuffer(data, np.uint8)]
-    span = 1
-    while span < 32 and span < len(gear):  # the hash over 32 bytes, from those over 1, 2, 4, 8 and 16
+
+def cuts(data: bytes, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the chunks of a text, and of the text that chose each: all runs of ``words`` words in it did."""
+    text = np.frombuffer(data, np.uint8)
+    starts, ends = _words(text)
+    size = (words + 1) // 2
+    if len(starts) < words:
+        return (starts[:0],) * 4
+    gear, span = _GEAR[text], 1
+    while span <= 16 and span < size:  # the hash over 32 bytes, from those over 1, 2, 4, 8 and 16; none leaves its chunk
         longer = gear.copy()
         longer[span:] += gear[:-span] << np.uint32(span)
         gear, span = longer, 2 * span
-    found, start = [], 0
-    for border in (np.flatnonzero(gear >> np.uint32(32 - BITS) == 0) + 1).tolist():
-        while border - start > MOST:
-            start += MOST
-            found.append(start)
-        if border - start >= LEAST:
-            found.append(border)
-            start = border
-    while len(data) - start > MOST:
-        start += MOST
-        found.append(start)
-    if start < len(data):
-        found.append(len(data))
-    return found
-
-
-def chunks(documents: DataFrame) -> DataFrame:
-    """``doc_id, start, length, digest`` of the chunks of each text with an id; a null text has none."""
+    runs = len(starts) - size + 1
+    # of equal hashes the last place is lowest
+    key = (gear[ends[size - 1 :] - 1].astype(np.uint64) << np.uint64(32)) | np.arange(runs, 0, -1, dtype=np.uint64)
+    choices, span = words - size + 1, 1
+    lowest = key
+    while 2 * span <= choices:
+        lowest, span = np.minimum(lowest[:-span], lowest[span:]), 2 * span
+    if span < choices:
+        lowest = np.minimum(lowest[: span - choices], lowest[choices - span :])
+    new = np.flatnonzero(np.concatenate([[True], lowest[1:] != lowest[:-1]]))
+    last = np.append(new[1:], len(lowest)) - 1
+    at = runs - (lowest[new] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    return starts[at], ends[at + size - 1], starts[new], ends[last + words - 1]
+
+
+def chunks(documents: DataFrame, words: int = 50) -> DataFrame:
+    """``doc_id, start, low, high, digest`` of the chunks of each text with an id; low to high is the text that chose
+    the chunk. A null text and one of fewer words have none."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for batch in portions(batches):
-            ids, starts, ends, digests = [], [], [], []
+            ids, places, digests = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-                own = cuts(text)
-                before = [0, *own[:-1]] if own else []
-                ids += [doc_id] * len(own)
-                starts += before
-                ends += own
-                digests += [digest(text[a:b]) for a, b in zip(before, own)]
-            begin = np.array(starts, np.int32)
+                starts, ends, low, high = cuts(text, words)
+                ids.append(np.full(len(starts), doc_id, np.int64))
+                places.append(np.array([starts, low, high], np.int32))
+                digests += [digest(text[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
+            at = np.concatenate([np.empty((3, 0), np.int32), *places], axis=1)
             columns = [
-                pa.array(ids, pa.int64()), pa.array(begin), pa.array(np.array(ends, np.int32) - begin),
+                pa.array(np.concatenate([np.empty(0, np.int64), *ids])), *map(pa.array, at),
                 pa.array(np.array(digests, np.uint64).view(np.int64)),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "digest"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "low", "high", "digest"])
 
     chosen = documents.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return chosen.mapInArrow(work, "doc_id bigint, start int, length int, digest bigint")
+    return chosen.mapInArrow(work, "doc_id bigint, start int, low int, high int, digest bigint")
 
 
 def _agreeing(one: np.ndarray, other: np.ndarray) -> int:
@@ -84,9 +91,6 @@ def _agreeing(one: np.ndarray, other: np.ndarray) -> int:
     return size
 
 
-_BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\f\r"))
-
-
 def _whole_words(data: np.ndarray, start: int, end: int) -> tuple[int, int]:
     """A range cut back to whole words."""
     blank = _BLANK[data]
@@ -131,9 +135,9 @@ def passages(documents: DataFrame, words: int = 50) -> DataFrame:
     Chunks are written once; the digests that several documents hold are found by an aggregate that is combined
     before the shuffle, and joined back to the chunks. Only texts with a shared chunk are shuffled.
     """
-    all_ = written(chunks(documents), "chunks")
+    all_ = written(chunks(documents, words), "chunks")
     place = F.struct("doc_id", "start")
-    held = all_.where(F.col("length") >= LEAST).groupBy("digest").agg(F.min(place).alias("first"), F.max("doc_id").alias("last"))
+    held = all_.groupBy("digest").agg(F.min(place).alias("first"), F.max("doc_id").alias("last"))
     shared = held.where(F.col("first.doc_id") < F.col("last")).select("digest", "first")
     again = all_.join(shared, "digest").where(F.col("doc_id") != F.col("first.doc_id"))
     pairs = again.groupBy("doc_id", F.col("first.doc_id").alias("first_doc_id")).agg(
