@@ -271,6 +271,36 @@ def test_short_words_in_many_contexts(spark):
     assert {(row.doc_id, row.first_doc_id) for row in found if row.n_words == 51} == {(2 * i + 1, 2 * i) for i in range(300)}
 
 
+def test_passages_whose_chunks_are_first_held_elsewhere(spark):
+    rng = np.random.default_rng(4)
+
+    def some(count):
+        return [f"w{i}" for i in rng.integers(0, 10**9, count)]
+
+    lines, texts = [some(40) for _ in range(6)], []
+    for line in lines:  # frequent lines, each first alone, one of them twice
+        texts += [some(30) + line + some(30), some(20) + line + some(9) + line + some(5)]
+    for _ in range(60):  # lines side by side, one inside the other, and passages that go on beyond a line
+        one, two = (lines[i] for i in rng.integers(0, 6, 2))
+        texts.append(some(rng.integers(0, 30)) + one + two + some(rng.integers(0, 30)))
+        texts.append(some(rng.integers(0, 30)) + one[:20] + two + one[20:] + some(8))
+        tail = some(int(rng.integers(5, 30)))
+        texts += [some(7) + one + tail + some(7), some(3) + two + some(3) + one + tail, ["many"] * int(rng.integers(40, 400))]
+    rows = spark.createDataFrame([(i, " ".join(words)) for i, words in enumerate(texts)], "doc_id long, text string")
+    spans = defaultdict(list)
+    for row in chunkdedup.passages(rows).collect():
+        text = " ".join(texts[row.doc_id])
+        assert text[row.start :][: row.length] == " ".join(texts[row.first_doc_id])[row.first_start :][: row.length]
+        before = len(text[: row.start].split())
+        spans[row.doc_id].append((before, before + row.n_words, row.first_doc_id))
+        assert row.n_words >= 50 and row.first_doc_id < row.doc_id
+    first = {}
+    for i, words in enumerate(texts):
+        for k in range(len(words) - 49):
+            if first.setdefault(tuple(words[k : k + 50]), i) < i:
+                assert any(a <= k and k + 50 <= b for a, b, _ in spans[i]), (i, k)
+
+
 def test_archives(spark, folder):
     pages = spark.read.parquet(f"{folder}/pages.parquet")
     odd = "page_id long, url string, html string"
