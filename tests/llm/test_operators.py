@@ -203,6 +203,17 @@ def test_colliding_surrogates_are_told_apart(spark, monkeypatch):
     assert len(set(found)) == 9 and not any(f"user{i}@" in text for i, text in enumerate(found))
 
 
+def test_names_of_both_genders_are_all_compared(spark, monkeypatch):
+    made = pii._stream
+    same = lambda secret, kind, plain, attempt: pii.F.when(attempt == 0, pii.F.repeat(pii.F.lit("0"), 128)).otherwise(
+        made(secret, kind, plain, attempt)
+    )
+    monkeypatch.setattr(pii, "_stream", same)
+    rows = spark.createDataFrame([(1, "Mr Ito and Mrs Ito met Mr Abe")], "doc_id long, text string")
+    words = pii.replace(rows).first().text.split()
+    assert len({words[1], words[4], words[7]}) == 3 and words[4].endswith("na") and words[7].endswith("r")
+
+
 def test_entities_without_a_free_replacement_of_their_length(spark, monkeypatch):
     calls, write = [], pii.written
 

@@ -226,11 +226,16 @@ def entities(documents: DataFrame) -> DataFrame:
     return kinds.select("_text", "kind", gender.alias("gender"), "entity")
 
 
+def _who(kind: Column, plain: Column, gender: Column) -> Column:
+    return F.concat_ws("|", kind, gender, plain)
+
+
 def exceptions(documents: DataFrame, secret: str) -> DataFrame | None:
-    """``kind, plain, attempt`` of the entities whose first replacement is another's or an entity that occurs."""
+    """``who, attempt`` of the entities whose first replacement is another's or an entity that occurs. A name that
+    occurs with several genders has a replacement for each, and all of them are compared."""
     seen = entities(documents).withColumn("plain", plain_form(F.col("kind"), F.col("entity")))
-    known = seen.groupBy("kind", "plain").agg(F.min("entity").alias("entity"), F.min("gender").alias("gender"))
-    known = written(known, "entities")
+    known = seen.groupBy("kind", "plain", "gender").agg(F.min("entity").alias("entity"))
+    known = written(known.withColumn("who", _who(F.col("kind"), F.col("plain"), F.col("gender"))), "entities")
     placed, attempt = known.withColumn("attempt", F.lit(0)), 0
     while True:
         made = surrogate(secret, F.col("kind"), F.col("gender"), F.col("entity"), F.col("attempt"))
@@ -238,28 +243,28 @@ def exceptions(documents: DataFrame, secret: str) -> DataFrame | None:
         # the first keeps a replacement (one from an earlier attempt before later ones, then by name)
         owner = new.groupBy("kind", "new").agg(F.count("*").alias("n"), F.min(F.struct("attempt", "plain")).alias("owner"))
         taken = owner.where("n > 1").select("kind", "new", F.col("owner.plain").alias("keeps"))
-        twice = new.join(taken, ["kind", "new"]).where("plain <> keeps").select("kind", "plain")
+        twice = new.join(taken, ["kind", "new"]).where("plain <> keeps").select("who")
         real = new.join(known.select("kind", F.col("plain").alias("new")), ["kind", "new"], "left_semi")
-        again = written(twice.unionAll(real.select("kind", "plain")).distinct(), "again")
+        again = written(twice.unionAll(real.select("who")).distinct(), "again")
         if again.isEmpty():
             break
         attempt += 1
         placed = written(
-            placed.join(again.withColumn("_again", F.lit(attempt)), ["kind", "plain"], "left")
+            placed.join(again.withColumn("_again", F.lit(attempt)), "who", "left")
             .withColumn("attempt", F.coalesce("_again", "attempt")).drop("_again"), "placed",
         )
-    return placed.where("attempt > 0").select("kind", "plain", "attempt") if attempt else None
+    return placed.where("attempt > 0").select("who", "attempt") if attempt else None
 
 
 def _replaced(secret: str, attempts: Column | None) -> tuple[Column, Column]:
-    """The replacements, and the text with them; ``attempts`` maps ``kind|plain`` of exceptions to their attempts."""
+    """The replacements, and the text with them; ``attempts`` maps ``_who`` of exceptions to their attempts."""
 
     def new(entity: Column, i: Column) -> Column:
         def of_kind(kind: Column) -> Column:
             gender = F.when(kind == "name", _gender(F.right(F.get(F.col("_pieces"), i), F.lit(12))))
             attempt = F.lit(0)
             if attempts is not None:
-                attempt = F.coalesce(F.try_element_at(attempts, F.concat_ws("|", kind, plain_form(kind, entity))), attempt)
+                attempt = F.coalesce(F.try_element_at(attempts, _who(kind, plain_form(kind, entity), gender)), attempt)
             return surrogate(secret, kind, gender, entity, attempt)
 
         return bound(kind_of(entity), of_kind)
@@ -282,9 +287,10 @@ def replace(documents: DataFrame, secret: str = "touchpath") -> DataFrame:
     found = found.withColumn("_pieces", pieces)
     special, attempts = exceptions(documents, secret), None
     if special is not None:
-        marked = entities(documents).withColumn("plain", plain_form(F.col("kind"), F.col("entity")))
-        by_text = marked.join(special, ["kind", "plain"]).groupBy("_text").agg(
-            F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "kind", "plain"), "attempt"))).alias("_attempts")
+        plain_of = plain_form(F.col("kind"), F.col("entity"))
+        marked = entities(documents).select("_text", _who(F.col("kind"), plain_of, F.col("gender")).alias("who"))
+        by_text = marked.join(special, "who").groupBy("_text").agg(
+            F.map_from_entries(F.collect_set(F.struct("who", "attempt"))).alias("_attempts")
         )
         found = found.withColumn("_text", F.when(F.size("_found") > 0, F.xxhash64("text"))).join(by_text, "_text", "left")
         attempts = F.coalesce(F.col("_attempts"), F.create_map().cast("map<string,int>"))
