@@ -203,6 +203,22 @@ def test_colliding_surrogates_are_told_apart(spark, monkeypatch):
     assert len(set(found)) == 9 and not any(f"user{i}@" in text for i, text in enumerate(found))
 
 
+def test_forms_of_numbers_and_addresses_are_found(spark):
+    forms = """(415)555-0123|+14155550123|4155550123|415-555-0123|(415) 555-0123|1-415-555-2123|06 12 34 56 78|0612345678
+        |+33 6 12 34 56 78|+49 30 123456|0049 30 123456|030 1234567|030/1234567|(030) 1234567|0171 1234567|01711234567|089 12 34 56 78
+        |612 345 678|612345678|91 123 45 67|612 34 56 78|+34 612 345 678|8 (495) 123-45-67|84951234567|+7 495 123-45-67
+        |2001:db8:0:0:0:0:0:1|2001:0DB8::1|fe80::1ff:fe23:4567:890a|::1|1::|10.20.30.40"""
+    forms = [form.strip() for form in forms.split("|")]
+    others = ["12:30:45", "1700000000", "std::vector", "2024-11-05", "1.2.3", "+1500 points", "+20 30 40", "00:1a:2b:3c:4d:5e"]
+    rows = spark.createDataFrame([(f"see {form}, or", form) for form in forms + others], "text string, form string")
+    kind = pii.kind_of(pii.F.get("found", pii.F.lit(0)))
+    found = rows.select("form", pii.matches_of(pii.F.col("text")).alias("found")).select("form", "found", kind.alias("kind")).collect()
+    assert {row.form: row.found for row in found} == {form: [form] for form in forms} | {form: [] for form in others}
+    assert {row.form for row in found if row.found and row.kind not in ("phone", "ip", "ip6")} == set()
+    plain = rows.where("form like '2001%'").select(pii.plain_form(pii.F.lit("ip6"), pii.F.col("form"))).distinct()
+    assert [row[0] for row in plain.collect()] == ["2001:db8:0:0:0:0:0:1"]
+
+
 def test_names_of_both_genders_are_all_compared(spark, monkeypatch):
     made = pii._stream
     same = lambda secret, kind, plain, attempt: pii.F.when(attempt == 0, pii.F.repeat(pii.F.lit("0"), 128)).otherwise(

@@ -1,10 +1,16 @@
 """Personal data replaced by surrogates.
 
-Detected entities (mail and IP addresses, card, phone and social security numbers, access keys, and names after a
+Detected entities (mail, IPv4 and IPv6 addresses, card, phone and social security numbers, access keys, and names after a
 form of address) get replacements of their own type: digits stay digits, letters letters, separators stay, a card
 number has a right check digit, a name keeps its gender and script. A replacement is a keyed function of the entity's
 plain form, so that one entity has one replacement throughout, however it is written and wherever it stands.
 
+Detected telephone numbers are international ones (+ or 00) and the national forms of North America, France, Germany,
+Spain and Russia, with or without separators; a number of nine to eleven digits in these forms is taken for one.
+Not detected: names without a form of address, postal addresses, dates of birth, local numbers without area code,
+national forms of other countries, Spanish landlines in one piece, bank account and passport numbers, MAC addresses.
+One number written with and without its country's prefix is one entity only where the last ten digits are the same; digits before those stay.
+
 Distinct entities shall have distinct replacements, and none may be an entity that occurs. The replacements of all
 distinct entities are compared; whoever collides, but for the first, gets that of another attempt, until none does.
 Later attempts choose among more replacements (longer ones), so that a free one is always found.
@@ -22,13 +28,28 @@ from touchpath.llm.common import bound, written
 MEN = ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "господин")
 WOMEN = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "госпожа")
 
+_HEX = "[0-9A-Fa-f]{1,4}"
+_PHONES = (
+    r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{4}",
+    r"(?:\+|00)[1-9]\d{7,14}",  # international, in one piece or in groups
+    r"(?:\+|00)(?=(?:[ ./()-]{0,2}\d){8})[1-9]\d{0,2}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ ./-]?\d{2,8}){1,4}",
+    r"(?:1[ .-]?)?(?:\([2-9]\d{2}\)[ .-]?|[2-9]\d{2}[ .-]?)[2-9]\d{2}[ .-]?\d{4}",  # North America
+    r"\([2-9]\d{2}\)\d{3}[ .-]?\d{4}",
+    r"0[1-9](?:[ .-]?\d{2}){4}",  # France
+    r"(?:\(0[1-9]\d{1,4}\) ?|0[1-9]\d{1,4}[ /-])\d{4,8}(?:[ -]\d{1,5})?",  # Germany, in groups or one piece
+    r"0[1-9]\d{1,4}[ /-]\d{2,4}(?: \d{2,4}){1,3}|0[1-9]\d{8,10}",
+    r"[6-9]\d{2}[ .-]\d{3}[ .-]\d{3}|[6-9]\d{2}(?:[ .-]\d{2}){3}|9\d(?:[ .-]\d{3})(?:[ .-]\d{2}){2}|[67]\d{8}",  # Spain
+    r"8[ -]?(?:\(\d{3}\)|\d{3})[ -]?\d{3}[ -]?\d{2}[ -]?\d{2}",  # Russia
+)
+
 _NAME = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip6": rf"(?<![\w:.])(?=[0-9A-Fa-f:]*\d)(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}}|(?:{_HEX}:){{1,7}}:|::{_HEX}(?::{_HEX}){{0,6}})(?![\w:]|\.\d)",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)",
     "card": r"(?<![\w-])\d{4}(?:([ -]?)\d{4}\1\d{4}\1\d{4}|[ -]?\d{6}[ -]?\d{5})(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{4}(?![\w-])",
+    "phone": rf"(?<![\w+])(?:{'|'.join(_PHONES)})(?![\w-])",
     "key": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|[0-9a-f]{40}|(?<=password=)\S+|(?<=token=)\S+)(?![A-Za-z0-9])",
     "name": rf"(?<=\b(?:{'|'.join(MEN + WOMEN)})\.? ){_NAME}(?: {_NAME})?",
 }
@@ -49,7 +70,7 @@ def matches_of(text: Column) -> Column:
 
 
 def _is(kind: str, entity: Column) -> Column:
-    if kind in ("ip", "card", "ssn", "phone"):  # their patterns look around; here the entity stands alone
+    if kind in ("ip6", "ip", "card", "ssn", "phone"):  # their patterns look around; here the entity stands alone
         return entity.rlike(f"^(?:{PATTERNS[kind]})$")
     if kind == "email":
         return entity.rlike(f"^{PATTERNS[kind]}$")
@@ -58,12 +79,21 @@ def _is(kind: str, entity: Column) -> Column:
 
 def kind_of(entity: Column) -> Column:
     kind = F.when(_is("email", entity), "email")
-    for name in ("ip", "card", "ssn", "phone"):
+    for name in ("ip6", "ip", "card", "ssn", "phone"):
         kind = kind.when(_is(name, entity), name)
     name = entity.rlike(rf"^{_NAME}(?: {_NAME})?$")
     return kind.when(name, "name").otherwise("key")
 
 
+def _groups_of(address: Column) -> Column:
+    """The eight groups of an IPv6 address, without leading zeros."""
+    halves = F.split(F.lower(address), "::")
+    some = lambda half: F.filter(F.split(F.coalesce(half, F.lit("")), ":"), lambda g: g != "")
+    one, other = some(F.get(halves, F.lit(0))), some(F.get(halves, F.lit(1)))
+    zeros = F.array_repeat(F.lit("0"), F.lit(8) - F.size(one) - F.size(other))
+    return F.array_join(F.transform(F.concat(one, zeros, other), lambda g: F.regexp_replace(g, "^0+(?=.)", "")), ":")
+
+
 def plain_form(kind: Column, entity: Column) -> Column:
     """What entities that differ only in writing have in common."""
     digits = F.regexp_replace(entity, r"\D", "")
@@ -71,6 +101,7 @@ def plain_form(kind: Column, entity: Column) -> Column:
         F.when(kind.isin("card", "ssn"), digits)
         .when(kind == "phone", F.substring(digits, -10, 10))
         .when(kind == "email", F.lower(entity))
+        .when(kind == "ip6", _groups_of(entity))
         .otherwise(entity)
     )
 
@@ -158,8 +189,9 @@ def surrogate(secret: str, kind: Column, gender: Column, entity: Column, attempt
         spare = F.when(attempt > 7, F.translate(_more(stream, attempt), "abcdef", "012345")).otherwise("")
         digits = F.when(kind == "card", digits).otherwise(F.concat(digits, spare))
         ip = F.concat_ws(".", *[(_number(stream, i, 223) + 1).cast("string") for i in range(4)])
-        ip = F.when(attempt > 7, F.concat_ws(":", F.lit("2001:db8"), *[F.substring(stream, 4 * i + 1, 4) for i in range(6)])).otherwise(ip)
-        choice = F.when(kind.isin("card", "ssn", "phone"), digits).when(kind == "ip", ip)
+        long = F.concat_ws(":", F.lit("2001:db8"), *[F.substring(stream, 4 * i + 1, 4) for i in range(6)])
+        ip = F.when((kind == "ip6") | (attempt > 7), long).otherwise(ip)
+        choice = F.when(kind.isin("card", "ssn", "phone"), digits).when(kind.isin("ip", "ip6"), ip)
         name = _name(entity, gender, stream, attempt)
         choice = choice.when(kind == "email", _email(entity, stream, attempt)).when(kind == "name", name)
         same = F.when(entity.rlike("^[0-9a-f]{16,128}$"), F.substring(stream, F.lit(1), F.length(entity)))
