@@ -56,7 +56,7 @@ def line_table(spark):
     return rows, frame.repartition(5)
 
 
-@pytest.mark.parametrize("batches", [1, 2, 14])
+@pytest.mark.parametrize("batches", [1, 6])
 def test_lines_by_brute_force(spark, batches):
     rows, frame = line_table(spark)
     found = linededup.without_common_lines(frame, 2, 3, batches)

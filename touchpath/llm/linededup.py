@@ -13,11 +13,16 @@ Spark 4.1 takes a union of bucketed tables for placed by hash when it is not, so
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType
 
-from touchpath.llm.common import SPACE, new_path, release, written
+from touchpath.llm.common import SPACE, extended, new_path, portions, release, utf8, written
 
 LEAST_CHARS = 40
 LEAST_DOCUMENTS = 5
@@ -25,22 +30,16 @@ BATCHES = 8
 FAN = 3
 
 HASH = ["h1", "h2"]
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def lines_of(text: Column) -> Column:
-    """Lines of a text; null is one empty line."""
-    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
-
-
-def line_key(line: Column) -> Column:
+def line_key(line: bytes) -> bytes:
     """A line without white space at its ends, A-Z in lower case."""
-    return F.translate(F.btrim(line, F.lit(SPACE)), _UPPER, _LOWER)
+    return line.strip(SPACE.encode()).lower()
 
 
-def key_hash(key: Column) -> tuple[Column, Column]:
-    """128 bits in two numbers: lines are told apart by them alone."""
-    return F.xxhash64(key), F.xxhash64(F.lit("second"), key)
+def key_hash(key: bytes) -> bytes:
+    """128 bits: lines are told apart by them alone."""
+    return xxhash.xxh3_128_digest(key)
 
 
 class Runs:
@@ -111,12 +110,25 @@ class Runs:
 
 def document_lines(documents: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:
     """``doc_id, h1, h2``: one row per document and line of at least ``least_chars`` code points."""
-    lines = documents.where(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.explode(lines_of(F.col("text"))).alias("line")
-    )
-    keys = lines.select("doc_id", line_key(F.col("line")).alias("key")).where(F.length("key") >= least_chars)
-    one, two = key_hash(F.col("key"))
-    return keys.select("doc_id", one.alias("h1"), two.alias("h2")).distinct()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in portions(batches, 500):
+            ids, hashes = [], []
+            for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+                keys = {key for key in map(line_key, text.split(b"\n")) if _is_long(key, least_chars)}
+                ids += [doc_id] * len(keys)
+                hashes += map(key_hash, keys)
+            halves = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
+            columns = [pa.array(ids, pa.int64()), pa.array(halves[:, 0]), pa.array(halves[:, 1])]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", *HASH])
+
+    held = documents.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return held.mapInArrow(work, "doc_id bigint, h1 bigint, h2 bigint").distinct()
+
+
+def _is_long(key: bytes, least_chars: int) -> bool:
+    # a code point has one byte or more, and one only that is no continuation
+    return len(key) >= least_chars and (len(key) >= 4 * least_chars or len(key.decode()) >= least_chars)
 
 
 def common_lines(lines: DataFrame, least_documents: int = LEAST_DOCUMENTS, batches: int = BATCHES) -> DataFrame:
@@ -166,24 +178,29 @@ def without_common_lines(
     # no more entries than the document has lines
     lists = losing.groupBy("doc_id").agg(F.collect_set(F.struct(*HASH)).alias("_losing"))
     lists = written(lists.withColumnRenamed("doc_id", "_of"), "losing-lines")
-    rows = documents.select(F.col("doc_id"), F.col("text")).join(
-        lists, F.col("doc_id").cast("bigint") == F.col("_of"), "left"
+    # always by sorting: whether the lists happen to be small must not change how the texts travel
+    rows = documents.select("doc_id", "text").join(
+        lists.hint("merge"), F.col("doc_id").cast("bigint") == F.col("_of"), "left"
     )
-
-    def stays(line: Column) -> Column:
-        one, two = key_hash(line_key(line))
-        return ~F.array_contains("_losing", F.struct(one.alias("h1"), two.alias("h2")))
-
     whole = F.coalesce("text", F.lit(""))
-    kept = F.when(F.col("_losing").isNotNull(), F.filter(lines_of(F.col("text")), stays))
     n_lines = (F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit(""))) + 1).cast("bigint")
-    return (
-        rows.select("doc_id", "text", n_lines.alias("n_lines"), kept.alias("_kept"))
-        .withColumn("n_dropped", F.when(F.col("_kept").isNull(), 0).otherwise(F.col("n_lines") - F.size("_kept")))
-        .select(
-            "doc_id",
-            "n_lines",
-            F.col("n_dropped").cast("bigint").alias("n_dropped"),
-            F.when(F.col("_kept").isNull(), whole).otherwise(F.array_join("_kept", "\n")).alias("kept"),
-        )
-    )
+    judged = rows.select("doc_id", whole.alias("kept"), n_lines.alias("n_lines"), "_losing")
+    kind = judged.select("doc_id").schema
+    return judged.mapInArrow(_drop, extended(kind, n_lines=LongType(), n_dropped=LongType(), kept=StringType()))
+
+
+def _drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in portions(batches, 500):
+        texts, dropped = utf8(batch.column(1)), []
+        for i, losing in enumerate(batch.column(3).to_pylist()):
+            if losing is None:
+                dropped.append(0)
+                continue
+            gone = {np.array([each["h1"], each["h2"]]).tobytes() for each in losing}
+            lines = texts[i].split(b"\n")
+            kept = [line for line in lines if key_hash(line_key(line)) not in gone]
+            texts[i] = b"\n".join(kept)
+            dropped.append(len(lines) - len(kept))
+        kept = pa.array(texts, pa.binary()).cast(pa.string())
+        columns = [batch.column(0), batch.column(2), pa.array(dropped, pa.int64()), kept]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_lines", "n_dropped", "kept"])
