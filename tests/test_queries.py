@@ -14,7 +14,8 @@ ORACLE = oracle.oracle_sql()
 
 
 def test_only_the_model_lacks_a_twin():
-    assert set(registry.queries()) - set(ORACLE) == {"propensity_score"}
+    trained = {"propensity_score", "propensity_score_10_rounds", "propensity_score_v1_10_rounds"}
+    assert set(registry.queries()) - set(ORACLE) == trained
     assert set(ORACLE) <= set(registry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
@@ -38,6 +39,9 @@ SPREAD = (
     "lifecycle_full",
     "propensity_features",
     "propensity_features_v1",
+    "activity_description",
+    "propensity_scoring_input",
+    "median_impute",
     "score_nearest",
     "latest_events_topk",
     "step_counts",

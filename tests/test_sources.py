@@ -72,3 +72,36 @@ def test_a_table_stored_by_contact_is_scanned_without_a_shuffle(spark, folder, t
     assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
     assert rows.count() == log.count()
     spark.sql("DROP TABLE stored_log")
+
+
+def test_an_appended_history_grows_by_its_own_rows(spark, tmp_path):
+    path, schema = str(tmp_path / "a"), spark.range(1).schema
+    assert sinks.newest_day(spark, path) is None
+    assert sinks.read_appended(spark, path, D(2020, 1, 9), schema).count() == 0
+    sinks.append_history(spark.range(3), path, D(2020, 1, 1))
+    first = {name: open(name, "rb").read() for name in glob.glob(f"{path}/snapshot_date=2020-01-01/*.parquet")}
+    for end in (12, 14):  # the second day is run again and has more rows
+        sinks.append_history(spark.range(10, end), path, D(2020, 1, 2))
+    assert sinks.newest_day(spark, path) == D(2020, 1, 2)
+    ids = [row.id for row in sinks.read_appended(spark, path, D(2020, 1, 3), schema).collect()]
+    assert sorted(ids) == [0, 1, 2, 10, 11, 12, 13]
+    assert sinks.read_appended(spark, path, D(2020, 1, 2), schema).count() == 3
+    # rows of a run that did not reach its pointer do not count
+    spark.range(100, 101).write.parquet(f"{path}/snapshot_date=2020-01-03")
+    assert sinks.read_appended(spark, path, D(2020, 1, 9), schema).count() == 7
+    assert all(open(name, "rb").read() == contents for name, contents in first.items())
+
+
+def test_a_day_without_new_rows_is_a_day(spark, tmp_path):
+    path, schema = str(tmp_path / "e"), spark.range(1).schema
+    sinks.append_history(spark.range(2), path, D(2020, 1, 1))
+    sinks.append_history(spark.range(0), path, D(2020, 1, 1))
+    assert sinks.newest_day(spark, path) == D(2020, 1, 1)
+    assert sinks.read_appended(spark, path, D(2020, 1, 2), schema).count() == 0
+
+
+def test_empty_and_missing_text_survive_a_csv_export(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "", None), (2, None, 0.5), (3, 'a "b", c', None)], "k int, a string, b double")
+    sinks.latest_csv(rows, path)
+    assert sorted(map(tuple, tables.read_csv(spark, path, rows.schema).collect())) == sorted(map(tuple, rows.collect()))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -228,9 +230,9 @@ def current_status(rows: DataFrame) -> DataFrame:
     )
 
 
-def sample(status: DataFrame, rows: int = 1000) -> DataFrame:
-    """Any rows of a table, for a look at it."""
-    return status.limit(rows)
+def sample(status: DataFrame, rows: int = 1000, order: Sequence[str] = ()) -> DataFrame:
+    """Some rows of a table, for a look at it: the first ones in an order, or any."""
+    return status.orderBy(*order).limit(rows) if order else status.limit(rows)
 
 
 def transition_report(transitions: DataFrame, after: Column) -> DataFrame:

@@ -25,10 +25,12 @@ from touchpath.functions.scans import (
     sum_within,
     with_scans,
 )
+from touchpath.operators import medians, trees
 from touchpath.operators.cleaning import accepted, filtered, with_advisor_flag, with_defaults, with_normal_fund
 from touchpath.operators.dedup import TOTAL_ORDER, keep_one
 from touchpath.operators.skew import Heavy, arrange, use_checkpoints
 from touchpath.settings import ACTIVITY_TYPES, DEMOGRAPHICS, ModelSettings, Settings
+from touchpath.sources.scratch import written
 
 
 @dataclass(frozen=True)
@@ -175,57 +177,21 @@ def scoring_rows(rows: DataFrame) -> DataFrame:
 
 
 def exact_medians(rows: DataFrame, names: Sequence[str]) -> DataFrame:
-    """One row with the exact median of each column, missing values ignored.
-
-    A built-in exact median gathers every distinct value in one task. Here the
-    rows are reduced to counted values in one pass; about 200 edges then cut
-    the values of a column into buckets, the bucket totals tell which buckets hold the
-    middle ranks, and only the values of those buckets are put in order. Edges
-    need not be exact for the result to be.
-    """
-    long = rows.select(*[F.col(name).cast("double") for name in names]).unpivot([], list(names), "name", "value")
-    counted = long.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("name", "value").agg(F.count("*").alias("n"))
-    cuts = [step / 200 for step in range(1, 200)]
-    edges = counted.groupBy("name").agg(
-        F.percentile_approx("value", cuts, 10_000).alias("edges"), F.sum("n").alias("total")
-    )
-    placed = counted.join(F.broadcast(edges), "name").withColumn(  # one row per column
-        "bucket", F.size(F.filter("edges", lambda edge: edge < F.col("value")))
-    )
-    lower, upper = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1
-
-    def upto(*keys: str, order: str) -> Column:
-        return F.sum("n").over(Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-
-    def holds(rank: Column) -> Column:
-        return (F.col("before") < rank) & (rank <= F.col("before") + F.col("n"))
-
-    buckets = (
-        placed.groupBy("name", "bucket", "total")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("before", upto("name", order="bucket") - F.col("n"))
-        .where(holds(lower) | holds(upper))  # at most two per column
-        .select("name", "bucket", "before")
-    )
-    ranked = (
-        placed.join(F.broadcast(buckets), ["name", "bucket"])
-        .withColumn("before", F.col("before") + upto("name", "bucket", order="value") - F.col("n"))
-        .select(
-            "name", F.when(holds(lower), F.col("value")).alias("low"), F.when(holds(upper), F.col("value")).alias("high")
-        )
-    )
-    medians = ranked.groupBy("name").agg(((F.max("low") + F.max("high")) / 2).alias("median"))
-    return medians.agg(*[F.max(F.when(F.col("name") == name, F.col("median"))).alias(name) for name in names])
+    """One row with the exact median of each column, missing values ignored."""
+    found = medians.exact_medians(rows, names)
+    schema = ", ".join(f"`{name}` double" for name in names)
+    return rows.sparkSession.createDataFrame([tuple(found[name] for name in names)], schema)
 
 
 def impute_medians(rows: DataFrame, population: DataFrame, names: Sequence[str] = DEMOGRAPHICS) -> DataFrame:
-    """Replace missing and non-positive values by the median of all values in ``population``."""
-    # one array, not one struct: fields of a struct would become a subquery each
-    medians = exact_medians(population, names).select(F.array(*names).alias("m")).scalar()
+    """Replace missing and non-positive values by the median of all values in ``population``, a written table."""
+    found = medians.exact_medians(population, names)
     return rows.withColumns(
         {
-            name: F.when((F.col(name) > 0) & ~F.isnan(name), F.col(name).cast("double")).otherwise(medians[place])
-            for place, name in enumerate(names)
+            name: F.when((F.col(name) > 0) & ~F.isnan(name), F.col(name).cast("double")).otherwise(
+                F.lit(found[name]).cast("double")
+            )
+            for name in names
         }
     )
 
@@ -233,7 +199,7 @@ def impute_medians(rows: DataFrame, population: DataFrame, names: Sequence[str]
 def fit(training: DataFrame, features: FeatureSet, model: ModelSettings) -> PipelineModel:
     """Boosted trees with logistic loss."""
     use_checkpoints(training.sparkSession)  # the trees cut their lineage there every ten rounds
-    trees = GBTClassifier(
+    boosted = GBTClassifier(
         featuresCol="features",
         labelCol="sale_in_35",
         maxIter=model.rounds,
@@ -244,16 +210,33 @@ def fit(training: DataFrame, features: FeatureSet, model: ModelSettings) -> Pipe
     )
     assembler = VectorAssembler(inputCols=features.columns, outputCol="features")
     # training reads its input many times: written once, it is not derived again
-    return Pipeline(stages=[assembler, trees]).fit(_numeric(training, features).checkpoint())
+    return Pipeline(stages=[assembler, boosted]).fit(written(_numeric(training, features), "training"))
+
+
+def scoring_input(rows: DataFrame) -> DataFrame:
+    """Each contact's last row, imputed by the medians of all rows of ``rows``, a written table."""
+    return impute_medians(scoring_rows(rows), rows)
+
+
+def fit_on_mature(rows: DataFrame, features: FeatureSet, settings: Settings, model: ModelSettings) -> PipelineModel:
+    """Train on the mature rows of ``rows``, a written table."""
+    mature = written(training_rows(rows, settings), "mature")
+    return fit(impute_medians(mature, mature), features, model)
 
 
 def fit_and_score(rows: DataFrame, features: FeatureSet, settings: Settings, model: ModelSettings) -> DataFrame:
     """Train on the mature rows and score each contact's last row, from one written copy of the features."""
-    use_checkpoints(rows.sparkSession)
-    rows = rows.checkpoint()
-    mature = training_rows(rows, settings)
-    fitted = fit(impute_medians(mature, mature), features, model)
-    return score(fitted, impute_medians(scoring_rows(rows), rows), features)
+    rows = written(rows, "features")
+    return score(fit_on_mature(rows, features, settings, model), scoring_input(rows), features)
+
+
+def fit_and_score_by_nodes(
+    rows: DataFrame, features: FeatureSet, settings: Settings, model: ModelSettings
+) -> DataFrame:
+    """As ``fit_and_score``, but the scores come from the exported nodes of the trees."""
+    rows = written(rows, "features")
+    nodes = trees.export_nodes(rows.sparkSession, fit_on_mature(rows, features, settings, model), features.columns)
+    return trees.score_by_nodes(scoring_input(rows), nodes, features.columns, ["contact_id", "contact_name"])
 
 
 def score(model: PipelineModel, rows: DataFrame, features: FeatureSet) -> DataFrame:

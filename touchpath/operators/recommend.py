@@ -201,6 +201,18 @@ def recommendation_history(old: DataFrame, new: DataFrame) -> DataFrame:
     return keep_one(both, ["contact_id", "sku_next_content"], order=order).drop("_age")
 
 
+def new_recommendations(old: DataFrame, new: DataFrame) -> DataFrame:
+    """What ``new`` adds to the history ``old``: with ``old`` it makes ``recommendation_history(old, new)``.
+
+    Only keys of the history are read. Contacts to whom nothing is left have a null content once.
+    """
+    keys = ["contact_id", "sku_next_content"]
+    once = keep_one(new, keys, order=("recommendation_date", "engagement_level", "url_next_content"))
+    known = old.select(*[F.col(key).alias(f"_{key}") for key in keys])
+    same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
+    return once.join(known, same[0] & same[1], "left_anti")
+
+
 def recommendation_execution(history: DataFrame, consumption: DataFrame) -> DataFrame:
     """Recommendations numbered per contact by date, with the day the content was consumed.
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from touchpath.functions import columns as c
-from touchpath.functions.scans import last_upto, with_scans
+from touchpath.functions.scans import CHUNK, KEY, last_upto, with_scans
 from touchpath.operators.cleaning import accepted, wanted_type, with_defaults, with_normal_fund
 from touchpath.operators.dedup import keep_one
 from touchpath.operators.skew import Heavy, arrange
@@ -114,9 +114,13 @@ def activity_description(rows: DataFrame, settings: Settings) -> DataFrame:
         "_line", c.described(F.col("activity_type"), F.col("activity_date"), F.col("additional_detail"))
     )
     ordered = F.array_sort(F.collect_list(F.struct("activity_date", "branch", "seq", "_line")))
-    return lines.groupBy("contact_id").agg(
-        F.array_join(F.transform(ordered, lambda item: item["_line"]), "\n").alias("prop_desc")
-    )
+    text = F.array_join(F.transform(ordered, lambda item: item["_line"]), "\n").alias("prop_desc")
+    if CHUNK not in rows.columns:
+        return lines.groupBy(KEY).agg(text)
+    # a heavy contact's lines are put in order within the ranges of its log, then one text per range in the ranges' order
+    cells = F.array_sort(F.collect_list(F.struct(CHUNK, "prop_desc")))
+    whole = F.array_join(F.transform(cells, lambda cell: cell["prop_desc"]), "\n").alias("prop_desc")
+    return lines.groupBy(KEY, CHUNK).agg(text).groupBy(KEY).agg(whole)
 
 
 def score_delta(master: DataFrame, scores: DataFrame, description: DataFrame) -> DataFrame:

@@ -5,8 +5,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from touchpath.functions import columns as c
 from touchpath.functions.scans import is_first, is_last, with_scans
@@ -55,7 +56,68 @@ def present_day_rows(
 def activity_timeline(
     activity: DataFrame, contact: DataFrame, settings: Settings, *, heavy: Heavy | None = None
 ) -> DataFrame:
-    """All rows of all contacts before any duplicate is dropped."""
+    """All rows of all contacts before any duplicate is dropped.
+
+    The log is read and placed by contact once. On one sort, the first row of each contact name knows the start of the
+    journey and the first row of each group of wanted activities stands for its present day; one join brings the
+    contact's attributes and the idle contacts, and every row then gives the one to three rows it stands for.
+    """
+    if heavy is not None:
+        return _spread_timeline(activity, contact, settings, heavy)
+    person = Window.partitionBy("contact_id", "contact_name")
+    within = ("additional_detail", "link", F.col("_wanted").desc())
+    log = (
+        accepted(activity)
+        .select(
+            "contact_id", "contact_name", "activity_date", "activity_type", "sales_amount", "additional_detail", "link",
+            F.coalesce(wanted_type(settings), F.lit(False)).alias("_wanted"),
+        )
+        .repartition("contact_id")
+        .withColumn("_row", F.row_number().over(person.orderBy(*within)))
+        .withColumn(
+            "_group_row",
+            F.row_number().over(
+                Window.partitionBy("contact_id", "contact_name", *within[:2]).orderBy(within[2])
+            ),
+        )
+        .withColumn("_begin", F.min("activity_date").over(person))
+    )
+    known = contact.select(
+        "contact_id", F.col("contact_name").alias("_known_name"), "created_date", "contact_type",
+        F.col("first_sale_date_new").alias("first_sale_date"),
+    )
+    idle, as_of = F.col("activity_date").isNull(), F.lit(settings.as_of)
+
+    def row(branch: int, day: Column, condition: Column) -> Column:
+        return F.when(condition, F.struct(F.lit(branch).alias("branch"), day.alias("activity_date")))
+
+    rows = F.array(
+        row(REAL, F.col("activity_date"), F.col("_wanted")),
+        row(START, c.journey_begin(F.col("_begin"), F.col("created_date")), F.col("_row") == 1),
+        row(PRESENT, as_of, F.col("_wanted") & (F.col("_group_row") == 1)),
+        row(START, F.col("created_date"), idle),
+        row(START, as_of, idle),
+    )
+    real = F.col("_mark.branch") == REAL
+    return (
+        log.join(known, "contact_id", "full_outer")
+        .withColumn("_mark", F.explode(F.filter(rows, lambda mark: mark.isNotNull())))
+        .select(
+            "contact_id",
+            F.when(idle, F.col("_known_name")).otherwise(F.col("contact_name")).alias("contact_name"),
+            F.col("_mark.activity_date").alias("activity_date"),
+            "contact_type",
+            "first_sale_date",
+            *[F.when(real, F.col(name)).alias(name) for name in ("activity_type", "sales_amount", "additional_detail", "link")],
+            F.col("_mark.branch").alias("branch"),
+        )
+    )
+
+
+def _spread_timeline(
+    activity: DataFrame, contact: DataFrame, settings: Settings, heavy: Heavy
+) -> DataFrame:
+    """The same rows without a window over a contact: starts and groups are reduced before the shuffle."""
     attributes = contact.select("contact_id", "contact_type", F.col("first_sale_date_new").alias("first_sale_date"))
     idle = contacts_without_activity(activity, contact)
     starts = journey_start(activity, contact).unionByName(

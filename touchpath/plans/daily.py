@@ -6,6 +6,7 @@ result reads the written table, as in: lifecycle -> recommendations, personnel.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 from functools import partial
 
@@ -116,9 +117,9 @@ def refresh_recommendations(
     store.refresh("next_steps", recommend.next_step_final(steps, new))
 
     path = store.path("recommendation_history")
-    old = sinks.read_history(store.spark, path, settings.as_of, new.schema)
-    sinks.write_history(recommend.recommendation_history(old, new), path, settings.as_of)
-    history = sinks.read_snapshot(store.spark, path, settings.as_of, new.schema)
+    old = sinks.read_appended(store.spark, path, settings.as_of, new.schema)
+    sinks.append_history(recommend.new_recommendations(old, new), path, settings.as_of)
+    history = sinks.read_appended(store.spark, path, settings.as_of + dt.timedelta(1), new.schema)
     store.refresh("recommendation_execution", recommend.recommendation_execution(history, consumption))
 
 

@@ -404,17 +404,38 @@ for _version in ("", "_v1"):
     QUALIFY pos = max(pos) OVER (PARTITION BY contact_id, activity_date)"""
 
 
+def _filled(name: str, rows: str) -> str:
+    return f"CASE WHEN {name} > 0 THEN {name} ELSE (SELECT median({name}) FROM {rows}) END"
+
+
 def _imputed(rows: str) -> str:
-    return ", ".join(
-        f"round(CASE WHEN {name} > 0 THEN {name} ELSE (SELECT median({name}) FROM {rows}) END, 6) AS {name}"
-        for name in DEMOGRAPHICS
-    )
+    return ", ".join(f"round({_filled(name, rows)}, 6) AS {name}" for name in DEMOGRAPHICS)
+
+
+def _scoring_input(rows: str, features: FeatureSet) -> str:
+    return f"""SELECT contact_id, contact_name, activity_date, {_imputed(rows)}, {_feature_columns(features)}, sale_in_35
+        FROM (SELECT * FROM {rows} QUALIFY pos = max(pos) OVER (PARTITION BY contact_id))"""
 
 
 def _feature_columns(features: FeatureSet) -> str:
     return ", ".join(name for name in features.columns if name not in DEMOGRAPHICS)
 
 
+TABLES["t_last_features"] = f"""
+    SELECT contact_id, contact_name, {", ".join(f"{_filled(name, 't_features')} AS {name}" for name in DEMOGRAPHICS)},
+           {_feature_columns(SECOND_FEATURES)}
+    FROM (SELECT * FROM t_features QUALIFY pos = max(pos) OVER (PARTITION BY contact_id))"""
+
+# three trees of a model, each leaf as the rule that leads to it
+TABLES["t_rules"] = """
+    SELECT contact_id, contact_name,
+           CASE WHEN days_till_last_sale <= -1 AND unique_funds <= 2 THEN -0.75
+                WHEN days_till_last_sale <= -1 THEN -0.25
+                WHEN days_till_last_sale <= 120 THEN 0.625 ELSE 0.125 END
+           + CASE WHEN age <= 40.5 THEN 0.0625 WHEN meeting_90 = 0 THEN -0.125 ELSE 0.375 END
+           + CASE WHEN rt365 > 100000 THEN 0.5 WHEN gdc <= 3000 THEN -0.3125 ELSE 0.03125 END AS margin
+    FROM t_last_features"""
+
 _ROUNDED = ", ".join(f"round({name}, 6) AS {name}" for name in DEMOGRAPHICS)
 
 # --- scores -------------------------------------------------------------------
@@ -573,6 +594,12 @@ FINAL: dict[str, str] = {
     "web_tracking_projection": """SELECT contact_id_15, visitor_key, session_key, session_start_ts, event_name,
         event_url, site_name, site_url FROM t_web""",
     "content_catalog": "SELECT event_name, event_url, level FROM t_catalog",
+    "activity_from_csv": """SELECT contact_id, contact_name, activity_type, activity_date, seq, sales_amount, fund_code,
+        additional_detail, link, event_id FROM t_activity""",
+    "contacts_refreshed": "SELECT * FROM t_master",
+    "contact_snapshots": f"""SELECT *, {AS_OF} AS snapshot_date FROM t_master
+        UNION ALL SELECT *, CAST({AS_OF} + 1 AS DATE) FROM t_master WHERE contact_id % 2 = 1""",
+    "status_sample": "SELECT * FROM t_status ORDER BY contact_id LIMIT 1000",
     "journey_start": "SELECT contact_id, contact_name, activity_date FROM t_start",
     "contacts_without_activity": "SELECT contact_id, contact_name, created_date FROM t_idle",
     "present_day_rows": "SELECT * FROM t_present",
@@ -636,6 +663,10 @@ FINAL: dict[str, str] = {
         {_feature_columns(FIRST_FEATURES)}, sale_in_35 FROM t_training_v1""",
     "median_impute": f"""SELECT contact_id, {_imputed("t_features")}
         FROM (SELECT * FROM t_features QUALIFY pos = max(pos) OVER (PARTITION BY contact_id))""",
+    "propensity_scoring_input": _scoring_input("t_features", SECOND_FEATURES),
+    "propensity_scoring_input_v1": _scoring_input("t_features_v1", FIRST_FEATURES),
+    "propensity_scorecard": """SELECT contact_id, contact_name,
+        round(1 / (1 + exp(-2 * CAST(margin AS DOUBLE))), 9) AS prediction FROM t_rules""",
     "master_contacts": "SELECT * FROM t_master",
     "activity_description": "SELECT * FROM t_described",
     "score_delta": """SELECT m.contact_id,
@@ -654,6 +685,10 @@ FINAL: dict[str, str] = {
     "latest_events_topk": f"""SELECT contact_id, contact_name, activity_type, activity_date, score, event_id
         FROM (SELECT *, row_number() OVER (PARTITION BY contact_id ORDER BY activity_date DESC, seq DESC) AS r FROM t_chart)
         WHERE r <= {SETTINGS.timeline_rows} AND score IS NOT NULL""",
+    "latest_events_export": f"""SELECT contact_id, contact_name, activity_type, activity_date, score, event_id,
+        true AS in_order
+        FROM (SELECT *, row_number() OVER (PARTITION BY contact_id ORDER BY activity_date DESC, seq DESC) AS r FROM t_chart)
+        WHERE r <= {SETTINGS.timeline_rows} AND score IS NOT NULL""",
     "step_counts": "SELECT * FROM t_steps",
     "step_counts_long": " UNION ALL ".join(
         f"SELECT contact_id, contact_name, '{step}' AS step, {step} AS n FROM t_steps" for step in _STEP_COLUMNS
@@ -668,6 +703,9 @@ FINAL: dict[str, str] = {
     "next_step_final": """SELECT n.contact_id, s.contact_name, s.level, n.url_next_content AS next_content, s.next_step
         FROM t_new n LEFT JOIN t_next s ON s.contact_id = n.contact_id""",
     "recommendation_history": "SELECT * FROM t_all_recommended",
+    "recommendation_additions": """SELECT n.* FROM t_new n WHERE NOT EXISTS (
+        SELECT 1 FROM t_old o WHERE o.contact_id = n.contact_id AND o.sku_next_content = n.sku_next_content)""",
+    "recommendation_history_appended": "SELECT * FROM t_all_recommended",
     "recommendation_execution": """SELECT CAST(row_number() OVER (PARTITION BY h.contact_id
             ORDER BY recommendation_date, sku_next_content) AS INTEGER) AS recommendation_id,
         h.contact_id, h.contact_name, engagement_level, sku_next_content, url_next_content, recommendation_date,

@@ -2,24 +2,50 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.window import Window
 
 from touchpath.functions import columns as c
 from touchpath.functions import scans as s
-from touchpath.operators import cleaning, lifecycle, personnel, propensity, recommend, scores, timeline
+from touchpath.operators import cleaning, lifecycle, personnel, propensity, recommend, scores, timeline, trees
 from touchpath.operators.dedup import keep_one
 from touchpath.operators.skew import Heavy, add_contact, arrange, by_size, join_contact, measure, use_checkpoints
 from touchpath.settings import DEMOGRAPHICS, ModelSettings, Settings
 from touchpath.sources import fixtures as fx
-from touchpath.sources.tables import WEB_TRACKING_COLUMNS, project
+from touchpath.sources import sinks
+from touchpath.sources.scratch import new_path, written
+from touchpath.sources.tables import WEB_TRACKING_COLUMNS, project, read_csv, read_parquet
 
 # a model small enough to be trained whenever the queries run
 QUERY_MODEL = ModelSettings(rounds=10, step_size=0.1, max_depth=4)
 
+# a model given as a table, so that any engine can give the scores: three trees over the second feature set
+SCORECARD = (
+    (0, 0, 0, "days_till_last_sale", -1.0, 1, 2, None),
+    (0, 1, 1, "unique_funds", 2.0, 3, 4, None),
+    (0, 2, 1, "days_till_last_sale", 120.0, 5, 6, None),
+    (0, 3, 2, None, None, None, None, -0.75),
+    (0, 4, 2, None, None, None, None, -0.25),
+    (0, 5, 2, None, None, None, None, 0.625),
+    (0, 6, 2, None, None, None, None, 0.125),
+    (1, 0, 0, "age", 40.5, 1, 2, None),
+    (1, 1, 1, None, None, None, None, 0.0625),
+    (1, 2, 1, "meeting_90", 0.0, 3, 4, None),
+    (1, 3, 2, None, None, None, None, -0.125),
+    (1, 4, 2, None, None, None, None, 0.375),
+    (2, 0, 0, "rt365", 100_000.0, 1, 2, None),
+    (2, 1, 1, "gdc", 3_000.0, 3, 4, None),
+    (2, 2, 1, None, None, None, None, 0.5),
+    (2, 3, 2, None, None, None, None, -0.3125),
+    (2, 4, 2, None, None, None, None, 0.03125),
+)
+
 _measured: dict[tuple[str, str, str, int], Heavy | None] = {}
 
 
@@ -186,6 +212,54 @@ def content_catalog(i: Inputs) -> DataFrame:
     return i.content_catalog
 
 
+# --- tables written and read back ---------------------------------------------
+
+
+def activity_from_csv(i: Inputs) -> DataFrame:
+    """The log as a CSV export, read again by its schema."""
+    path = new_path(i.spark, "activity_csv")
+    sinks.latest_csv(i.activity, path)
+    return read_csv(i.spark, path, i.activity.schema)
+
+
+def contacts_refreshed(i: Inputs) -> DataFrame:
+    """A table that is refreshed a second time has the second contents only."""
+    path = new_path(i.spark, "contacts")
+    sinks.full_refresh(i.contact.select("contact_id", "contact_name", "score_7_days_ago"), path)
+    sinks.full_refresh(scores.master_contacts(i.contact), path)
+    return read_parquet(i.spark, path)
+
+
+def contact_snapshots(i: Inputs) -> DataFrame:
+    """Snapshots of two days; the second day is run again with other rows."""
+    path, day = new_path(i.spark, "snapshots"), i.settings.as_of
+    rows = scores.master_contacts(i.contact)
+    sinks.dated_snapshot(rows, path, day)
+    for condition in ("contact_id % 2 = 0", "contact_id % 2 = 1"):
+        sinks.dated_snapshot(rows.where(condition), path, day + dt.timedelta(1))
+    return read_csv(i.spark, path, StructType([*rows.schema.fields, StructField(sinks.DAY, DateType())]))
+
+
+def latest_events_export(i: Inputs) -> DataFrame:
+    """The ordered CSV of latest events, with whether each line stands after the one before it in its file."""
+    path = new_path(i.spark, "latest_events")
+    rows = latest_events_topk(i)
+    sinks.latest_csv(rows, path, ["contact_id", "activity_date"])
+    read = read_csv(i.spark, path, rows.schema).select("*", "_metadata.file_path", "_metadata.file_block_start")
+    lines = Window.partitionBy("file_path", "file_block_start").orderBy("_line")
+    place = F.struct("contact_id", "activity_date")
+    return (
+        read.withColumn("_line", F.monotonically_increasing_id())
+        .withColumn("in_order", F.coalesce(F.lag(place).over(lines) <= place, F.lit(True)))
+        .drop("_line", "file_path", "file_block_start")
+    )
+
+
+def status_sample(i: Inputs) -> DataFrame:
+    """The first thousand contacts' status."""
+    return lifecycle.sample(i.status(), 1000, ["contact_id"])
+
+
 # --- timeline -----------------------------------------------------------------
 
 
@@ -375,10 +449,14 @@ def propensity_features_v1(i: Inputs) -> DataFrame:
 
 
 def _training(i: Inputs, features: propensity.FeatureSet) -> DataFrame:
-    rows = i.features(features, lambda rows: propensity.training_rows(rows, i.settings))
+    rows = written(i.features(features, lambda rows: propensity.training_rows(rows, i.settings)), "mature")
     return propensity.impute_medians(rows, rows)
 
 
+def _scoring_input(i: Inputs, features: propensity.FeatureSet) -> DataFrame:
+    return propensity.scoring_input(written(i.features(features), "features"))
+
+
 def propensity_training_set(i: Inputs) -> DataFrame:
     features = propensity.SECOND_FEATURES
     return _feature_output(_training(i, features), features, "activity_date")
@@ -390,16 +468,48 @@ def propensity_training_set_v1(i: Inputs) -> DataFrame:
 
 
 def median_impute(i: Inputs) -> DataFrame:
-    rows = i.features()
-    imputed = propensity.impute_medians(propensity.scoring_rows(rows), rows)
+    narrow = i.features(build=lambda rows: rows.select("contact_id", "is_last", *DEMOGRAPHICS))
+    imputed = propensity.scoring_input(written(narrow, "features"))
     return imputed.select("contact_id", *[F.round(name, 6).alias(name) for name in DEMOGRAPHICS])
 
 
+def propensity_scoring_input(i: Inputs) -> DataFrame:
+    features = propensity.SECOND_FEATURES
+    return _feature_output(_scoring_input(i, features), features, "activity_date")
+
+
+def propensity_scoring_input_v1(i: Inputs) -> DataFrame:
+    features = propensity.FIRST_FEATURES
+    return _feature_output(_scoring_input(i, features), features, "activity_date")
+
+
+def propensity_scorecard(i: Inputs) -> DataFrame:
+    """Every contact's score by a model that is given as a table of nodes."""
+    features = propensity.SECOND_FEATURES
+    nodes = i.spark.createDataFrame(SCORECARD, trees.NODE_SCHEMA)
+    scored = trees.score_by_nodes(
+        _scoring_input(i, features), nodes, features.columns, ["contact_id", "contact_name"]
+    )
+    return scored.withColumn("prediction", F.round("prediction", 9))
+
+
 def propensity_score(i: Inputs) -> DataFrame:
     features = propensity.SECOND_FEATURES
     return propensity.fit_and_score(i.features(features), features, i.settings, QUERY_MODEL)
 
 
+def propensity_score_10_rounds(i: Inputs) -> DataFrame:
+    """Trained with 10 rounds of depth 4, scored from the exported trees."""
+    features = propensity.SECOND_FEATURES
+    return propensity.fit_and_score_by_nodes(i.features(features), features, i.settings, QUERY_MODEL)
+
+
+def propensity_score_v1_10_rounds(i: Inputs) -> DataFrame:
+    """The first model's features, trained with 10 rounds of depth 4, scored from the exported trees."""
+    features = propensity.FIRST_FEATURES
+    return propensity.fit_and_score_by_nodes(i.features(features), features, i.settings, QUERY_MODEL)
+
+
 # --- score reports ------------------------------------------------------------
 
 
@@ -477,6 +587,22 @@ def recommendation_history(i: Inputs) -> DataFrame:
     return recommend.recommendation_history(i.old_recommendations, i.recommended())
 
 
+def recommendation_additions(i: Inputs) -> DataFrame:
+    """What a day adds to the stored history."""
+    return recommend.new_recommendations(i.old_recommendations, i.recommended())
+
+
+def recommendation_history_appended(i: Inputs) -> DataFrame:
+    """The history as it is stored: a first day, and a second one that is run twice and adds its own rows only."""
+    path, day, old = new_path(i.spark, "history"), i.settings.as_of, i.old_recommendations
+    sinks.append_history(old, path, day - dt.timedelta(1))
+    new = written(i.recommended(), "recommendation")
+    for _ in range(2):
+        known = sinks.read_appended(i.spark, path, day, old.schema)
+        sinks.append_history(recommend.new_recommendations(known, new), path, day)
+    return sinks.read_appended(i.spark, path, day + dt.timedelta(1), old.schema)
+
+
 def recommendation_execution(i: Inputs) -> DataFrame:
     return recommend.recommendation_execution(recommendation_history(i), i.consumption())
 
@@ -506,6 +632,11 @@ BUILDERS: tuple[Callable[[Inputs], DataFrame], ...] = (
     record_id_18,
     web_tracking_projection,
     content_catalog,
+    activity_from_csv,
+    contacts_refreshed,
+    contact_snapshots,
+    latest_events_export,
+    status_sample,
     journey_start,
     contacts_without_activity,
     present_day_rows,
@@ -536,7 +667,12 @@ BUILDERS: tuple[Callable[[Inputs], DataFrame], ...] = (
     propensity_training_set,
     propensity_training_set_v1,
     median_impute,
+    propensity_scoring_input,
+    propensity_scoring_input_v1,
+    propensity_scorecard,
     propensity_score,
+    propensity_score_10_rounds,
+    propensity_score_v1_10_rounds,
     master_contacts,
     score_delta,
     activity_description,
@@ -551,6 +687,8 @@ BUILDERS: tuple[Callable[[Inputs], DataFrame], ...] = (
     recommendation,
     next_step_final,
     recommendation_history,
+    recommendation_additions,
+    recommendation_history_appended,
     recommendation_execution,
     personnel_task_territory,
     personnel_activity,

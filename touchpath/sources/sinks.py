@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DAY = "snapshot_date"  # folder column of dated snapshots
+POINTERS = "_days"  # folder with an empty file for each day of an appended history; readers of the table pass it over
 
 
 def full_refresh(rows: DataFrame, path: str) -> None:
@@ -64,15 +64,53 @@ def read_snapshot(spark: SparkSession, path: str, day: dt.date, schema: T.Struct
 
 
 def read_history(spark: SparkSession, path: str, before: dt.date, schema: T.StructType) -> DataFrame:
-    """Latest snapshot older than ``before``; empty if there is none or nothing was ever written."""
-    try:
-        snapshots = spark.read.schema(_with_day(schema)).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """Latest snapshot older than ``before``; empty if there is none or nothing was ever written.
+
+    The newest day is found by the names of the folders; no snapshot is opened for it.
+    """
+    days = [day for day in _days(spark, path) if day < before]
+    if not days:
         return spark.createDataFrame([], schema)
-    newest = snapshots.where(F.col(DAY) < F.lit(before)).agg(F.max(DAY)).first()[0]
-    return snapshots.where(F.col(DAY) == F.lit(newest)).drop(DAY)
+    return read_snapshot(spark, path, max(days), schema)
+
+
+def append_history(rows: DataFrame, path: str, day: dt.date) -> None:
+    """Add the new rows of ``day`` to a table that only grows, then point to the day.
+
+    Rows of other days are neither read nor written. A day counts from the moment its pointer, an empty file, exists;
+    a run that failed before can be repeated, and a repeated run replaces the rows of its own day.
+    """
+    spark = rows.sparkSession
+    rows.write.mode("overwrite").parquet(f"{path}/{DAY}={day}")
+    files, pointer = _file_system(spark, f"{path}/{POINTERS}/{DAY}={day}")
+    files.create(pointer, True).close()
+
+
+def read_appended(spark: SparkSession, path: str, before: dt.date, schema: T.StructType) -> DataFrame:
+    """All rows added on days before ``before`` whose run came to its end; empty without any."""
+    days = [day for day in _days(spark, f"{path}/{POINTERS}") if day < before]
+    if not days:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(_with_day(schema)).parquet(path).where(F.col(DAY).isin(days)).drop(DAY)
+
+
+def newest_day(spark: SparkSession, path: str) -> dt.date | None:
+    """The last day added to an appended history."""
+    return max(_days(spark, f"{path}/{POINTERS}"), default=None)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _days(spark: SparkSession, path: str) -> list[dt.date]:
+    """The days that have an entry in a folder; one listing, nothing is opened."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(place)]
+    return [dt.date.fromisoformat(name.removeprefix(f"{DAY}=")) for name in names if name.startswith(f"{DAY}=")]
 
 
 def _with_day(schema: T.StructType) -> T.StructType:

@@ -14,8 +14,9 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header line; text stays text."""
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    """CSV with a header line; text stays text: an empty one in quotes is empty, nothing at all is missing."""
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    return reader.option("nullValue", "\x00").csv(path)  # the default takes both for missing
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
