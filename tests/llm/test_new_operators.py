@@ -293,3 +293,47 @@ def test_a_long_text_has_its_own_grammar(monkeypatch):
     monkeypatch.setattr(runs, "WORDS_AT_ONCE", 50)
     texts = [b"a b " * 20, b"", b"x " * 100, b"one two"]
     assert [len(held) for held in runs._portions_of_words(texts)] == [2, 1, 1]
+
+
+# --- surrogates ---------------------------------------------------------------
+
+
+def test_a_person_keeps_the_surname(spark):
+    from touchpath.llm import pii
+
+    text = "Mr John Smith came. Mr Smith left, Mrs Smith stayed. Mr. John Smith and Dr Jane Roe met Prof Roe and John."
+    rows = spark.createDataFrame([(1, text, "x", "y")], "doc_id long, text string, _held string, _row string")
+    found = pii.replace(rows).first()
+    words = re.findall(r"\w+", found.text)
+    john, smith, woman, jane, roe = words[1], words[2], words[8], words[15], words[16]
+    assert [words[5], words[11], words[12], words[19]] == [smith, john, smith, roe] and (words[14], words[18]) == ("Dr", "Prof")
+    assert len({john, smith, woman, jane, roe, "John", "Smith", "Jane", "Roe"}) == 9 and woman.endswith("na")
+    assert found._held == "x" and found._row == "y" and found.n_replaced == 6
+
+
+def test_surrogates_over_the_whole_table(spark, folder):
+    """Detected again by plain Python: each entity has one replacement, no two share one, no original is left."""
+    from touchpath.llm import pii
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    before = {row.doc_id: row.text for row in docs.collect()}
+    after = {row.doc_id: (row.text, row.n_replaced) for row in pii.replace(docs).collect()}
+    found = docs.select("doc_id", pii.matches_of(F.col("text")).alias("found")).collect()
+    forward, total = defaultdict(set), 0
+    for row in found:
+        text, n = after[row.doc_id]
+        assert n == len(row.found)
+        pieces, rest = [], before[row.doc_id]
+        for entity in row.found:
+            piece, _, rest = rest.partition(entity)
+            pieces.append(piece)
+        pattern = "(.+?)".join(map(re.escape, [*pieces, rest]))
+        match = re.fullmatch(pattern, text, re.DOTALL)
+        assert match
+        for entity, new in zip(row.found, match.groups()):
+            forward[re.sub(r"\D", "", entity)[-10:] if re.fullmatch(r"[\d +().-]+", entity) else entity.lower()].add(
+                re.sub(r"\D", "", new)[-10:] if re.fullmatch(r"[\d +().-]+", entity) and "." not in entity else new.lower()
+            )
+            total += 1
+    assert total > 20 and all(len(news) == 1 for news in forward.values())
+    assert len({next(iter(news)) for news in forward.values()}) == len(forward)

@@ -11,10 +11,13 @@ Not detected: names without a form of address, postal addresses, dates of birth,
 national forms of other countries, Spanish landlines in one piece, bank account and passport numbers, MAC addresses.
 One number written with and without its country's prefix is one entity only where the last ten digits are the same; digits before those stay.
 
-Distinct entities shall have distinct replacements, and none may be an entity that occurs. The replacements of all
-distinct entities are compared; whoever collides, but for the first, gets that of another attempt, until none does.
-Later attempts choose among more replacements (longer ones), so that a free one is always found.
-Such exceptions are a table that is joined by entity; all others are replaced in place. Only DataFrame functions.
+Each word of a name has its replacement, so that "Mr John Smith" and "Mr Smith" stay one person; a surname keeps its stem
+after forms of address of either gender.
+
+Distinct entities shall have distinct replacements, and none may be an entity that occurs. The distinct entities are a
+written table with their replacements; all are compared, and whoever collides, but for the first, gets that of another
+attempt, until none does. Later attempts choose among more replacements (longer ones), so that a free one is always
+found. The texts are searched once and put together again from the pieces between entities. Only DataFrame functions.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from touchpath.llm.common import bound, written
 # fixed values: forms of address, with the gender they tell
 MEN = ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "господин")
 WOMEN = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "госпожа")
+EITHER = ("Mx", "Dr", "Prof", "Professor", "Doctor", "Dott", "Dra", "Maître", "доктор", "профессор")
 
 _HEX = "[0-9A-Fa-f]{1,4}"
 _PHONES = (
@@ -51,11 +55,11 @@ PATTERNS = {
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "phone": rf"(?<![\w+])(?:{'|'.join(_PHONES)})(?![\w-])",
     "key": r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|[0-9a-f]{40}|(?<=password=)\S+|(?<=token=)\S+)(?![A-Za-z0-9])",
-    "name": rf"(?<=\b(?:{'|'.join(MEN + WOMEN)})\.? ){_NAME}(?: {_NAME})?",
+    "name": rf"(?<=\b(?:{'|'.join(MEN + WOMEN + EITHER)})\.? ){_NAME}(?: {_NAME})?",
 }
 _ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
 # texts without one of these have no entity
-_HINT = rf"[0-9@]|password=|token=|(?:{'|'.join(MEN + WOMEN)})\.? \p{{Lu}}"
+_HINT = rf"[0-9@]|password=|token=|(?:{'|'.join(MEN + WOMEN + EITHER)})\.? \p{{Lu}}"
 
 _LATIN = "ba be bi bo da de di do fa fe ga go ha he ja jo ka ko la le li lo ma me mi mo na ne ni no pa pe ra re ri ro sa se ta te ti to va vi".split()
 _CYRILLIC = "ба бе би бо ва ве ви во га го да де ди до ка ке ки ко ла ле ли ло ма ме ми мо на не ни но па по ра ре ри ро са се та те ти то".split()
@@ -243,91 +247,99 @@ def _gender(before: Column) -> Column:
     return F.when(before.rlike(rf"\b(?:{'|'.join(WOMEN)})\.? $"), "f").when(before.rlike(rf"\b(?:{'|'.join(MEN)})\.? $"), "m")
 
 
-def entities(documents: DataFrame) -> DataFrame:
-    """``_text, kind, gender, entity`` per occurrence: ``_text`` names the text (a hash)."""
-    text = F.col("text")
-    found = documents.select("text", matches_of(text).alias("_found")).where(F.size("_found") > 0)
+def _with_pieces(documents: DataFrame, name: str) -> DataFrame:
+    """``documents``, written, with what one reading of the texts finds in the column ``name``: a number of the row, the
+    entities, and the pieces of text around them, which then stand for the text."""
+    found = documents.withColumn(name, matches_of(F.col("text")))
+    pieces = F.when(F.size(name) > 0, F.split("text", _ANY))
+    row = F.monotonically_increasing_id()  # fixed by being written
+    parts = F.struct(row.alias("row"), F.col(f"`{name}`").alias("entities"), pieces.alias("pieces"))
+    found = found.withColumn(name, parts)
+    return written(found.withColumn("text", F.when(F.size(f"{name}.entities") == 0, F.col("text"))), "pieces")
+
+
+def occurrences(texts: DataFrame) -> DataFrame:
+    """``row, place, part, kind, gender, entity`` of ``row, entities, pieces``: each word of a name is an entity of its own,
+    so that a person keeps the surname however much of the name is said. ``gender`` is empty where it is not told."""
 
     def occurrence(entity: Column, i: Column) -> Column:
-        return F.struct(entity.alias("entity"), F.right(F.get(F.col("_pieces"), i), F.lit(12)).alias("before"))
+        return F.struct(entity.alias("entity"), F.right(F.get(F.col("pieces"), i), F.lit(12)).alias("before"))
 
-    occurrences = F.transform("_found", occurrence)
-    rows = found.withColumn("_pieces", F.split(text, _ANY)).select(F.xxhash64("text").alias("_text"), F.explode(occurrences).alias("o"))
-    kinds = rows.select("_text", kind_of(F.col("o.entity")).alias("kind"), "o.entity", "o.before")
+    each = texts.select("row", F.posexplode(F.transform("entities", occurrence)).alias("place", "o"))
+    kinds = each.select("row", "place", kind_of(F.col("o.entity")).alias("kind"), "o.entity", "o.before")
+    words = F.when(F.col("kind") == "name", F.split("entity", " ")).otherwise(F.array("entity"))
     gender = F.when(F.col("kind") == "name", _gender(F.col("before")))
-    return kinds.select("_text", "kind", gender.alias("gender"), "entity")
+    told = kinds.select("row", "place", "kind", F.coalesce(gender, F.lit("")).alias("gender"), words.alias("words"))
+    return told.select("row", "place", "kind", "gender", F.posexplode("words").alias("part", "entity"))
+
 
+def _made(secret: str, forms: DataFrame) -> DataFrame:
+    made = surrogate(secret, F.col("kind"), F.col("gender"), F.col("entity"), F.col("attempt"))
+    return forms.select("who", "kind", "gender", "plain", "entity", "attempt", made.alias("new"))
 
-def _who(kind: Column, plain: Column, gender: Column) -> Column:
-    return F.concat_ws("|", kind, gender, plain)
 
+def replacements(found: DataFrame, secret: str) -> DataFrame:
+    """``kind, gender, entity, new``, written: the final replacement of each distinct entity in ``occurrences``.
 
-def exceptions(documents: DataFrame, secret: str) -> DataFrame | None:
-    """``who, attempt`` of the entities whose first replacement is another's or an entity that occurs. A name that
-    occurs with several genders has a replacement for each, and all of them are compared."""
-    seen = entities(documents).withColumn("plain", plain_form(F.col("kind"), F.col("entity")))
-    known = seen.groupBy("kind", "plain", "gender").agg(F.min("entity").alias("entity"))
-    known = written(known.withColumn("who", _who(F.col("kind"), F.col("plain"), F.col("gender"))), "entities")
-    placed, attempt = known.withColumn("attempt", F.lit(0)), 0
+    Replacements are compared by their plain forms. Of several entities with the same one the first keeps it (one from
+    an earlier attempt before later ones, then by name), and nobody keeps what is an entity that occurs; the others
+    get those of another attempt, until all differ. A name that occurs with several genders has a replacement for
+    each, and all of them are compared.
+    """
+    forms = found.select("kind", "gender", "entity").distinct()
+    forms = forms.withColumn("plain", plain_form(F.col("kind"), F.col("entity")))
+    forms = forms.withColumn("who", F.concat_ws("|", "kind", "gender", "plain")).withColumn("attempt", F.lit(0))
+    made, attempt = written(_made(secret, forms), "replacements"), 0
     while True:
-        made = surrogate(secret, F.col("kind"), F.col("gender"), F.col("entity"), F.col("attempt"))
-        new = placed.withColumn("new", plain_form(F.col("kind"), made))
-        # the first keeps a replacement (one from an earlier attempt before later ones, then by name)
+        first = made.groupBy("who", "kind", "plain", "attempt").agg(F.min(F.struct("entity", "new")).alias("m"))
+        new = first.select("who", "kind", "plain", "attempt", plain_form(F.col("kind"), F.col("m.new")).alias("new"))
         owner = new.groupBy("kind", "new").agg(F.count("*").alias("n"), F.min(F.struct("attempt", "plain")).alias("owner"))
         taken = owner.where("n > 1").select("kind", "new", F.col("owner.plain").alias("keeps"))
         twice = new.join(taken, ["kind", "new"]).where("plain <> keeps").select("who")
-        real = new.join(known.select("kind", F.col("plain").alias("new")), ["kind", "new"], "left_semi")
-        again = written(twice.unionAll(real.select("who")).distinct(), "again")
-        if again.isEmpty():
-            break
+        real = new.join(made.select("kind", F.col("plain").alias("new")).distinct(), ["kind", "new"], "left_semi")
         attempt += 1
-        placed = written(
-            placed.join(again.withColumn("_again", F.lit(attempt)), "who", "left")
-            .withColumn("attempt", F.coalesce("_again", "attempt")).drop("_again"), "placed",
-        )
-    return placed.where("attempt > 0").select("who", "attempt") if attempt else None
-
-
-def _replaced(secret: str, attempts: Column | None) -> tuple[Column, Column]:
-    """The replacements, and the text with them; ``attempts`` maps ``_who`` of exceptions to their attempts."""
-
-    def new(entity: Column, i: Column) -> Column:
-        def of_kind(kind: Column) -> Column:
-            gender = F.when(kind == "name", _gender(F.right(F.get(F.col("_pieces"), i), F.lit(12))))
-            attempt = F.lit(0)
-            if attempts is not None:
-                attempt = F.coalesce(F.try_element_at(attempts, _who(kind, plain_form(kind, entity), gender)), attempt)
-            return surrogate(secret, kind, gender, entity, attempt)
+        again = twice.unionAll(real.select("who")).distinct().withColumn("attempt", F.lit(attempt))
+        again = written(again, "again")
+        if again.isEmpty():
+            return made.select("kind", "gender", "entity", "new")
+        kept = made.join(again.select("who"), "who", "left_anti")
+        other = _made(secret, made.drop("attempt").join(again, "who"))
+        made = written(kept.unionByName(other), "replacements")
 
-        return bound(kind_of(entity), of_kind)
 
-    parts = F.transform("_pieces", lambda piece, i: F.concat(piece, F.coalesce(F.get(F.col("_new"), i), F.lit(""))))
-    return F.transform("_found", new), F.array_join(parts, "")
+def unused(documents: DataFrame, name: str) -> str:
+    """A column name that ``documents`` does not have."""
+    taken = {column.lower() for column in documents.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def replace(documents: DataFrame, secret: str = "touchpath") -> DataFrame:
     """``documents`` with the entities in their texts replaced and ``n_replaced`` after the columns.
 
-    A null or empty text stays as it is. Equal texts get equal results; repeated rows stay; other columns are not
-    looked at, but for one named n_replaced, which is replaced. An empty table gives an empty table. Who knows
+    A null or empty text stays as it is. Equal texts get equal results; repeated rows stay; other columns are carried
+    along, but for one named n_replaced, which is replaced. An empty table gives an empty table. Who knows
     ``secret`` can recompute replacements: keep it apart.
+
+    The texts are searched once. Only those with entities are shuffled, to meet their replacements.
     """
     plain = documents.drop("n_replaced")
-    names = plain.columns
-    found = plain.withColumn("_found", matches_of(F.col("text")))
-    pieces = F.when(F.size("_found") > 0, F.split("text", _ANY)).otherwise(F.array("text"))
-    found = found.withColumn("_pieces", pieces)
-    special, attempts = exceptions(documents, secret), None
-    if special is not None:
-        plain_of = plain_form(F.col("kind"), F.col("entity"))
-        marked = entities(documents).select("_text", _who(F.col("kind"), plain_of, F.col("gender")).alias("who"))
-        by_text = marked.join(special, "who").groupBy("_text").agg(
-            F.map_from_entries(F.collect_set(F.struct("who", "attempt"))).alias("_attempts")
-        )
-        found = found.withColumn("_text", F.when(F.size("_found") > 0, F.xxhash64("text"))).join(by_text, "_text", "left")
-        attempts = F.coalesce(F.col("_attempts"), F.create_map().cast("map<string,int>"))
-    new, text = _replaced(secret, attempts)
-    changed = found.withColumn("_new", F.when(F.size("_found") > 0, new).otherwise(F.array().cast("array<string>")))
-    changed = changed.withColumn("n_replaced", F.coalesce(F.size("_found"), F.lit(0)))
-    result = F.when(F.col("n_replaced") > 0, text).otherwise(F.col("text"))
-    return changed.withColumn("text", result).select(*[F.col(f"`{name}`") for name in names], "n_replaced")
+    held, row, new = (unused(plain, name) for name in ("_held", "_row", "_new"))
+    texts = _with_pieces(plain, held)
+    size = F.size(f"{held}.entities")
+    found = written(occurrences(texts.where(size > 0).select(f"{held}.*")), "occurrences")
+    told = found.join(replacements(found, secret), ["kind", "gender", "entity"])
+    # no more entries than a text has entities
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "new"))), lambda p: p["new"]), " ")
+    places = told.groupBy("row", "place").agg(whole.alias("new"))
+    by_row = places.groupBy(F.col("row").alias(row)).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("place", "new"))), lambda p: p["new"]).alias(new)
+    )
+    changed = texts.where(size > 0).join(by_row, F.col(f"{held}.row") == F.col(row), "left")
+    parts = F.transform(
+        f"{held}.pieces", lambda piece, i: F.concat(piece, F.coalesce(F.get(F.col(new), i), F.lit("")))
+    )
+    columns = [F.col(f"`{name}`") for name in plain.columns]
+    changed = changed.withColumn("text", F.array_join(parts, "")).select(*columns, size.alias("n_replaced"))
+    return texts.where(size == 0).select(*columns, size.alias("n_replaced")).unionByName(changed)
