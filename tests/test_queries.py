@@ -74,6 +74,18 @@ def test_spread_contacts_match_sql(spark, skewed, name):
     assert compare.difference(frame, ORACLE[name], compare.connect(skewed)) is None
 
 
+@pytest.mark.parametrize(
+    "name", ["personnel_task_territory", "personnel_activity", "fund_normalised", "content_consumption", "recommendation"]
+)
+def test_results_without_small_sides(spark, folder, db, monkeypatch, name):
+    """As if users, funds and the catalog were large: ten owners hold all meetings."""
+    from touchpath.operators import skew
+
+    monkeypatch.setattr(skew, "SMALL_ROWS", 0)
+    frame = getattr(registry, name)(registry.Inputs(spark, folder))
+    assert compare.difference(frame, ORACLE[name], db) is None
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 150
 

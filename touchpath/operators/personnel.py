@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from touchpath.functions import columns as c
 from touchpath.functions.scans import previous, sum_ahead, with_scans
-from touchpath.operators.skew import Heavy, if_small, join_contact
+from touchpath.operators.skew import Heavy, join_contact, join_spread
 from touchpath.settings import PERSONNEL_TYPES, Settings
 
 def user_territories(user: DataFrame, territory: DataFrame) -> DataFrame:
@@ -32,8 +32,8 @@ def task_territories(task: DataFrame, user: DataFrame, territory: DataFrame, set
         & F.col("profile").isin(*settings.profiles)
         & F.col("completed_at").isNotNull()
     )
-    served = if_small(user_territories(user, territory))
-    return done.join(served, F.col("owner_id") == F.col("user_id")).select(
+    # few owners may hold all tasks
+    return join_spread(done, user_territories(user, territory), "owner_id", "user_id").select(
         "personnel_name", "territory_name", "activity_type", "activity_date", F.col("who_id").alias("contact_id")
     )
 
@@ -63,9 +63,11 @@ def personnel_activity(
     meetings = event.where(
         (F.col("event_type") == "Meeting") & (F.col("activity_date") > F.lit(settings.personnel_floor))
     ).join(event_relation, "event_id")
+    # an owner's meetings collapse by day and contact before the owner is looked up, and few owners may hold them all
+    meetings = meetings.select("owner_id", "event_type", "activity_date", "contact_id").distinct()
     active = user.where(F.col("is_active") == "True").select("user_id", F.col("user_name").alias("personnel_name"))
     met = (
-        meetings.join(if_small(active), F.col("owner_id") == F.col("user_id"))
+        join_spread(meetings, active, "owner_id", "user_id")
         .select("personnel_name", F.col("event_type").alias("activity_type"), "activity_date", "contact_id")
         .distinct()
     )

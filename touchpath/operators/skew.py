@@ -22,6 +22,8 @@ from touchpath.operators.dedup import keep_one
 
 # a join side with no more rows is broadcast
 SMALL_ROWS = 100_000
+# tasks over which the rows of one key are dealt in a join with a side that is not small
+SPREAD = 16
 
 
 @dataclass(frozen=True)
@@ -97,6 +99,20 @@ def if_small(side: DataFrame) -> DataFrame:
     return F.broadcast(side) if is_small(side) else side
 
 
+def join_spread(rows: DataFrame, side: DataFrame, left: str, right: str, parts: int = SPREAD) -> DataFrame:
+    """Join on a key of few values, each of which many rows share: ``rows.left = side.right``.
+
+    A small side is broadcast. Otherwise the rows of a key are dealt over ``parts`` tasks by their other columns, and
+    the side is repeated for each part.
+    """
+    if is_small(side):
+        return rows.join(F.broadcast(side), F.col(left) == F.col(right))
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(*rows.columns), F.lit(parts)))
+    repeated = side.withColumn("_side_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))))
+    same = (F.col(left) == F.col(right)) & (F.col("_part") == F.col("_side_part"))
+    return dealt.join(repeated, same).drop("_part", "_side_part")
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Make sure checkpoints go to the cluster's shared folder. Only a session on one machine may do without the
     setting; it gets a temporary folder."""

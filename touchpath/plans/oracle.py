@@ -97,6 +97,34 @@ TABLES["t_activity"] = f"""
            seq AS event_id
     FROM t_lines"""
 
+TABLES["t_raw"] = """
+    SELECT CASE WHEN day(activity_date) % 11 = 0 THEN 'x' || CAST(contact_id AS VARCHAR)
+                WHEN day(activity_date) % 13 = 0 THEN NULL ELSE CAST(contact_id AS VARCHAR) END AS contact_text,
+           CASE (contact_id + month(activity_date)) % 8
+                WHEN 0 THEN upper(activity_type) WHEN 1 THEN lower(activity_type)
+                WHEN 2 THEN '  ' || replace(activity_type, ' ', '.') || ' '
+                WHEN 3 THEN 'Unheard Of' WHEN 4 THEN NULL ELSE activity_type END AS type_text,
+           CASE (contact_id + dayofyear(activity_date)) % 9
+                WHEN 0 THEN strftime(activity_date, '%m/%d/%Y') WHEN 1 THEN strftime(activity_date, '%Y%m%d')
+                WHEN 2 THEN CAST(activity_date AS VARCHAR) || ' 10:20:30' WHEN 3 THEN 'soon' WHEN 4 THEN '2001-02-30'
+                WHEN 5 THEN CASE WHEN day(activity_date) % 2 = 0 THEN '  ' END
+                ELSE CAST(activity_date AS VARCHAR) END AS date_text,
+           seq, contact_id, activity_type, activity_date
+    FROM t_activity"""
+
+# what each variant of a clean row must come to, told by how it was made
+TABLES["t_triaged"] = f"""
+    SELECT * REPLACE (CASE WHEN type_text IS NOT NULL THEN activity_type END AS activity_type),
+           CASE WHEN contact_text IS NULL THEN 'no contact'
+                WHEN contact_text LIKE 'x%' THEN 'contact is no number'
+                WHEN (contact_id + dayofyear(activity_date)) % 9 = 5 THEN 'no date'
+                WHEN (contact_id + dayofyear(activity_date)) % 9 IN (3, 4) THEN 'date cannot be read'
+                WHEN activity_date > {AS_OF} THEN 'date is after the present day'
+                WHEN type_text = 'Unheard Of' THEN 'type is unknown'
+                WHEN lower(trim(type_text)) = 'voicemail' AND type_text NOT IN ('VoiceMail', 'Voicemail')
+                THEN 'type stands for several' END AS reason
+    FROM t_raw"""
+
 TABLES["t_people"] = """
     SELECT c_custkey AS contact_id, c_acctbal AS gdc, c_acctbal * 100 AS aum,
            CASE WHEN c_custkey % 7 <> 0
@@ -594,6 +622,10 @@ FINAL: dict[str, str] = {
     "web_tracking_projection": """SELECT contact_id_15, visitor_key, session_key, session_start_ts, event_name,
         event_url, site_name, site_url FROM t_web""",
     "content_catalog": "SELECT event_name, event_url, level FROM t_catalog",
+    "activity_trusted": """SELECT seq, contact_id, activity_type, activity_date FROM t_triaged WHERE reason IS NULL""",
+    "activity_rejects": """SELECT contact_text, type_text, date_text, seq, reason FROM t_triaged
+        WHERE reason IS NOT NULL""",
+    "reject_reasons": "SELECT reason, count(*) AS n FROM t_triaged WHERE reason IS NOT NULL GROUP BY 1",
     "activity_from_csv": """SELECT contact_id, contact_name, activity_type, activity_date, seq, sales_amount, fund_code,
         additional_detail, link, event_id FROM t_activity""",
     "contacts_refreshed": "SELECT * FROM t_master",

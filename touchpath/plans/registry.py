@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from touchpath.functions import columns as c
 from touchpath.functions import scans as s
-from touchpath.operators import cleaning, lifecycle, personnel, propensity, recommend, scores, timeline, trees
+from touchpath.operators import cleaning, lifecycle, personnel, propensity, recommend, scores, timeline, trees, triage
 from touchpath.operators.dedup import keep_one
 from touchpath.operators.skew import Heavy, add_contact, arrange, by_size, join_contact, measure, use_checkpoints
 from touchpath.settings import DEMOGRAPHICS, ModelSettings, Settings
@@ -212,6 +212,27 @@ def content_catalog(i: Inputs) -> DataFrame:
     return i.content_catalog
 
 
+# --- untrusted input ------------------------------------------------------------
+
+
+def _triaged(i: Inputs) -> DataFrame:
+    return triage.triaged(fx.raw_activity(i.spark, i.folder), i.settings, future=False)
+
+
+def activity_trusted(i: Inputs) -> DataFrame:
+    """Typed activities of a log of text."""
+    return triage.trusted(_triaged(i))
+
+
+def activity_rejects(i: Inputs) -> DataFrame:
+    """What of it cannot be used, and why."""
+    return triage.rejects(_triaged(i))
+
+
+def reject_reasons(i: Inputs) -> DataFrame:
+    return triage.reasons(_triaged(i))
+
+
 # --- tables written and read back ---------------------------------------------
 
 
@@ -632,6 +653,9 @@ BUILDERS: tuple[Callable[[Inputs], DataFrame], ...] = (
     record_id_18,
     web_tracking_projection,
     content_catalog,
+    activity_trusted,
+    activity_rejects,
+    reject_reasons,
     activity_from_csv,
     contacts_refreshed,
     contact_snapshots,

@@ -88,6 +88,40 @@ def activity(spark: SparkSession, folder: str) -> DataFrame:
         _order_in_log().alias("event_id"),
     )
 
+
+def raw_activity(spark: SparkSession, folder: str) -> DataFrame:
+    """The log as untrusted text: dates in several forms, types in any case, and rows that cannot be read."""
+    log = activity(spark, folder)
+    contact, day, kind = F.col("contact_id"), F.col("activity_date"), F.col("activity_type")
+    of_month, iso = F.dayofmonth(day), day.cast("string")
+    form = (contact + F.dayofyear(day)) % 9
+    date_text = (
+        F.when(form == 0, F.date_format(day, "MM/dd/yyyy"))
+        .when(form == 1, F.date_format(day, "yyyyMMdd"))
+        .when(form == 2, F.concat(iso, F.lit(" 10:20:30")))
+        .when(form == 3, "soon")
+        .when(form == 4, "2001-02-30")
+        .when(form == 5, F.when(of_month % 2 == 0, "  "))
+        .otherwise(iso)
+    )
+    spelling = (contact + F.month(day)) % 8
+    type_text = (
+        F.when(spelling == 0, F.upper(kind))
+        .when(spelling == 1, F.lower(kind))
+        .when(spelling == 2, F.concat(F.lit("  "), F.translate(kind, " ", "."), F.lit(" ")))
+        .when(spelling == 3, "Unheard Of")
+        .when(spelling == 4, F.lit(None))
+        .otherwise(kind)
+    )
+    contact_text = F.when(of_month % 11 == 0, F.concat(F.lit("x"), contact)).when(of_month % 13 == 0, F.lit(None))
+    return log.select(
+        contact_text.otherwise(contact.cast("string")).alias("contact_text"),
+        type_text.alias("type_text"),
+        date_text.alias("date_text"),
+        "seq",
+    )
+
+
 def people(spark: SparkSession, folder: str) -> DataFrame:
     """Demographics, which belong on every row of the activity log."""
     key = F.col("c_custkey")
