@@ -337,3 +337,47 @@ def test_surrogates_over_the_whole_table(spark, folder):
             total += 1
     assert total > 20 and all(len(news) == 1 for news in forward.values())
     assert len({next(iter(news)) for news in forward.values()}) == len(forward)
+
+
+# --- archives -----------------------------------------------------------------
+
+
+def _segment(number, origin, block, total=None):
+    first = number == 1
+    lines = [
+        "WARC/1.1", f"WARC-Type: {'response' if first else 'continuation'}",
+        f"WARC-Record-ID: <{origin if first else f'{origin}/{number}'}>", f"WARC-Segment-Number: {number}",
+    ]
+    lines += [] if first else [f"WARC-Segment-Origin-ID: <{origin}>"]
+    lines += [f"WARC-Segment-Total-Length: {total}"] if total is not None else []
+    lines += [f"Content-Length: {len(block)}", "", ""]
+    return "\r\n".join(lines).encode() + block + b"\r\n\r\n"
+
+
+def test_broken_records_are_reported(spark, tmp_path):
+    import gzip
+
+    from touchpath.llm import warc
+
+    block = b"HTTP/1.1 200 OK\r\n\r\nhello world"
+    parts = [block[:10], block[10:25], block[25:]]
+
+    def cut(origin, numbers, total=len(block)):
+        return [_segment(n, origin, parts[n - 1], total if n == 3 else None) for n in numbers]
+
+    records = cut("urn:page:1:a", [3, 1, 2])  # out of order is no fault
+    records += cut("urn:page:2:a", [2, 3]) + cut("urn:page:3:a", [1, 3]) + cut("urn:page:4:a", [1, 2, 2, 3])
+    records += cut("urn:page:5:a", [1, 2, 3], total=5) + cut("urn:page:6:a", [1, 2])
+    records += [b"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:x:y>\r\nContent-Length: 0\r\n\r\n\r\n\r\n"]
+    (tmp_path / "a.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    found = {row.page_id: row for row in warc.read_archives(spark, str(tmp_path)).collect()}
+    assert bytes(found[1].payload) == b"hello world" and found[1].problem is None
+    missing, length = "segments are missing or repeated", "the total length is another"
+    assert {page: row.problem for page, row in found.items() if page != 1} == {2: missing, 3: missing, 4: missing, 5: length, 6: length}
+    assert all(row.payload is None for page, row in found.items() if page != 1) and found[2].record_type == "continuation"
+
+
+def test_responses_do_not_meet_by_what_they_refer_to(spark, folder):
+    plan = QUERIES["op10_warc_segments"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    responses = plan.split("Join")[0]
+    assert plan.count("Join") == 1 and "Union" in responses

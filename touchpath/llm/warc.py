@@ -228,7 +228,8 @@ def reassemble(segments: DataFrame) -> DataFrame:
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """``page_id, record_type, refers_to, digest, payload, problem`` of the records in a folder of archives.
 
-    ``payload`` is empty for a revisit and null where ``problem`` says why a record cannot be put together. Only the
+    ``payload`` is empty for a revisit and null where ``problem`` says why a record cannot be put together. Segments
+    without a first one are a row of type continuation. Records of other types are not pages and give no row. Only the
     segmented records are shuffled. An empty folder gives an empty table.
     """
     whole = records(spark, path, False).select(
@@ -254,8 +255,16 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         work, "record_type string, origin string, digest string, refers_to bigint, payload binary, problem string"
     )
     revisits = all_.where("record_type = 'revisit'").drop("block").withColumn("payload", _bytes(""))
+    # segments whose record never began are reported, not passed over
+    orphans = all_.where("record_type = 'continuation'").drop("block").withColumns(
+        {
+            "payload": F.lit(None).cast("binary"),
+            "problem": F.coalesce("problem", F.lit("the first segment is missing")),
+        }
+    )
     page = F.nullif(F.split("origin", ":")[2], F.lit("")).cast("bigint")
-    return answers.unionByName(revisits.select(*answers.columns)).select(
+    all_ = answers.unionByName(revisits.select(*answers.columns)).unionByName(orphans.select(*answers.columns))
+    return all_.select(
         page.alias("page_id"), "record_type", "refers_to", "digest", "payload", "problem"
     )
 
@@ -272,8 +281,8 @@ def round_trip(pages: DataFrame) -> DataFrame:
     found = written(read.select("page_id", length.alias("own_bytes"), own.alias("payload_digest"), "record_type", "refers_to"), "records")
     answers = found.where("record_type = 'response' and page_id is not null").groupBy(F.col("page_id").alias("refers_to"))
     lengths = answers.agg(F.first("own_bytes").alias("first_bytes"))
-    return found.join(lengths, "refers_to", "left").select(
-        "page_id",
-        F.when(F.col("record_type") == "response", F.col("own_bytes")).otherwise(F.col("first_bytes")).alias("payload_bytes"),
-        "payload_digest", "record_type", "refers_to",
-    )
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    # responses refer to nothing: joined with the revisits they would all meet in one task
+    responses = found.where("record_type = 'response'").withColumnRenamed("own_bytes", "payload_bytes")
+    revisits = found.where("record_type <> 'response'").join(lengths, "refers_to", "left")
+    return responses.select(*columns).unionByName(revisits.withColumnRenamed("first_bytes", "payload_bytes").select(*columns))
