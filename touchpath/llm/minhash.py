@@ -5,10 +5,10 @@ function serves all bins. Empty bins borrow from full ones by a probing sequence
 densification), so that small sets have independent bins, too. Bands of bins name the buckets.
 
 Texts with equal sets are one class from the start. In each bucket only a star is checked: the smallest class
-against the others, on their full sets. A bucket whose members are not all connected by then is cut by their
-distances from the centre, which tell most of the others apart, and looked at again with eight further centres per
-part, then 64, and so on, so that no link between members of a bucket is lost and yet no bucket is listed pair by
-pair: rounds grow with the logarithm of a bucket's size, and a bucket of true copies ends after the first.
+against the others, on their full sets. A bucket of true copies ends there. Where members of several components are
+left, those go whose shingles that others have, too, are too few for any link, and the rest is looked at again with
+eight further centres per bucket, then 64, and so on; members of a bucket's largest component are no centres. So no
+link between members of a bucket is lost, and rounds grow with the logarithm of a bucket's size.
 """
 
 from __future__ import annotations
@@ -29,6 +29,9 @@ from touchpath.llm.shingles import joined, shingle_set
 # 0.3, which a common passage makes, fewer than one in a hundred shares one
 BANDS, ROWS = 100, 8
 
+# how often texts are told apart by their own shingles: each time, fewer texts are left to share them
+REFINEMENTS = 2
+
 _EMPTY = np.uint64(2**64 - 1)
 
 
@@ -108,39 +111,77 @@ def _full_sets(documents: DataFrame, wanted: DataFrame, shingle: int) -> DataFra
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` with the distance of their full sets (1 - Jaccard), and whether they are alike enough."""
+    """The pairs ``a, b``, and whether their full sets are alike enough."""
     one = sets.select(F.col("class").alias("a"), F.col("shingles").alias("left"))
     two = sets.select(F.col("class").alias("b"), F.col("shingles").alias("right"))
     shared = F.size(F.array_intersect("left", "right")).alias("shared")
     union = (F.size("left") + F.size("right") - F.size(F.array_intersect("left", "right"))).alias("union")
     sized = pairs.join(one, "a").join(two, "b").select("a", "b", shared, union)
     linked = 100 * F.col("shared") >= percent * F.col("union")
-    return sized.select("a", "b", (1 - F.col("shared") / F.col("union")).alias("distance"), linked.alias("linked"))
+    return sized.select("a", "b", linked.alias("linked"))
 
 
-def _by_distance(members: DataFrame, centres: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
-    """Buckets cut by the members' distance from the centre.
+def _possible(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rows that may still have a link to another component of their bucket.
 
-    Jaccard distance is a metric: two members are alike only if their distances from the centre differ by no more
-    than the limit. Each member goes to the range of its distance and to the next one, so that such members meet.
-    Those that were not compared, as their sizes exclude a link, go to all ranges but the first.
+    Buckets that share a class form a region. What a class can have in common with members of other components is
+    bounded by ``most``, the number of its shingles that some other component of its region has, too: a text whose own
+    words exceed the limit is told apart from a whole group at once, without a comparison. A row stays if ``most``
+    suffices for the smallest member of another component in its bucket.
     """
-    limit = 1 - percent / 100 + 1e-9
-    most = int(1 / limit) + 1
-    known = members.join(centres.select("bucket", "centre"), "bucket").select(
-        "*", F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")
-    )
-    known = known.join(compared.select("a", "b", "distance"), ["a", "b"], "left")
-    place = F.floor(F.col("distance") / limit).cast("int")
-    ranges = F.when(place.isNull(), F.sequence(F.lit(1), F.lit(most))).otherwise(F.array(place, place + 1))
-    dealt = known.select("class", "n", "bucket", F.explode(ranges).alias("range"))
-    return dealt.select("class", "n", F.xxhash64("bucket", "range").alias("bucket"))
+    lowest = members.groupBy("bucket").agg(F.min("class").alias("low"))
+    edges = members.join(lowest, "bucket").select(F.col("class").alias("a"), F.col("low").alias("b")).distinct()
+    regions = components(edges).select(F.col("node").alias("class"), F.col("component").alias("region"))
+    owners = members.select("class", "component").distinct().join(regions, "class")
+    held = owners.join(sets, "class").select("class", "component", "region", F.explode("shingles").alias("shingle"))
+    held = written(held, "held")
+    ends = F.min("component").alias("low"), F.max("component").alias("high")
+    own = held.groupBy("region", "shingle").agg(*ends).where("low = high").select("region", "shingle")
+    own = held.join(own, ["region", "shingle"], "left_semi").groupBy("class").agg(F.count("*").alias("own"))
+    bounded = members.drop("most").join(own, "class", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
+    bounded = written(bounded.drop("own"), "bounded")
+
+    first = bounded.groupBy("bucket").agg(F.min(F.struct("n", "component")).alias("first"))
+    second = F.min(F.when(F.col("component") != F.col("first.component"), F.col("n"))).alias("second")
+    lows = bounded.join(first, "bucket").groupBy("bucket", "first").agg(second).where("second is not null")
+    other = F.when(F.col("component") == F.col("first.component"), F.col("second")).otherwise(F.col("first.n"))
+    enough = 100 * (100 + percent) * F.col("most") >= percent * F.greatest(100 * (F.col("n") + other), (100 + percent) * F.col("n"))
+    kept = written(bounded.join(lows, "bucket").where(enough).select(*members.columns), "possible")
+    result = _open(kept)
+    release(held, bounded, kept)
+    return result
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """The rows of buckets with members of more than one component."""
+    ends = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return written(members.join(ends.where("low <> high").select("bucket"), "bucket", "left_semi"), "members")
+
+
+def _centres(members: DataFrame, slots: int) -> DataFrame:
+    """The smallest member of each slot of a bucket, among those outside the bucket's largest component.
+
+    Of two members of different components at least one is outside it, so its own members need not be centres, and a
+    bucket of many copies with a few others is done when the few are.
+    """
+    chosen = members
+    if slots > 1:
+        shares = members.groupBy("bucket", "component").agg(F.count("*").alias("k"))
+        largest = shares.groupBy("bucket").agg(F.max(F.struct("k", "component"))["component"].alias("largest"))
+        chosen = members.join(largest, "bucket").where("component <> largest")
+    slot = F.pmod(F.xxhash64("class", F.lit(slots)), F.lit(slots))
+    least = F.min(F.struct("class", "n", "component", "most")).alias("c")
+    return chosen.groupBy("bucket", slot.alias("slot")).agg(least).select(
+        "bucket", F.col("c.class").alias("centre"), F.col("c.n").alias("centre_n"),
+        F.col("c.component").alias("centre_component"), F.col("c.most").alias("centre_most"),
+    )
 
 
 def _pairs(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
-    """Members against centres of their bucket: those of other components, and not too different in size to be alike."""
+    """Members against centres of their bucket: those of other components whose sizes and common shingles allow a link."""
     joined_ = members.join(centres, "bucket").where("class <> centre and component <> centre_component")
     alike = joined_.where(100 * F.least("n", "centre_n") >= percent * F.greatest("n", "centre_n"))
+    alike = alike.where((100 + percent) * F.least("most", "centre_most") >= percent * (F.col("n") + F.col("centre_n")))
     return alike.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
 
 
@@ -151,21 +192,15 @@ def classes_and_links(documents: DataFrame, shingle: int = 5, percent: int = 80)
     classes = written(grouped.withColumnRenamed("n_shingles", "n"), "classes")
     dealt = classes.select("class", "n", F.explode("buckets").alias("bucket"))
     shared = dealt.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    members = written(dealt.join(shared.select("bucket"), "bucket").withColumn("component", F.col("class")), "members")
+    members = dealt.join(shared.select("bucket"), "bucket").withColumn("component", F.col("class"))
+    members = written(members.withColumn("most", F.col("n")), "members")
 
     wanted = classes.join(members.select("class").distinct(), "class", "left_semi").select("class", "first_id")
     sets = written(_full_sets(documents, wanted, shingle), "sets")
     links, tested, found = None, None, None
     slots = 1
     while not members.isEmpty():
-        # the smallest member of each slot of a bucket
-        slot = F.pmod(F.xxhash64("class", F.lit(slots)), F.lit(slots))
-        least = F.min(F.struct("class", "n", "component")).alias("c")
-        centres = members.groupBy("bucket", slot.alias("slot")).agg(least).select(
-            "bucket", F.col("c.class").alias("centre"), F.col("c.n").alias("centre_n"),
-            F.col("c.component").alias("centre_component"),
-        )
-        centres = written(centres, "centres")
+        centres = written(_centres(members, slots), "centres")
         pairs = _pairs(members, centres, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
@@ -179,13 +214,14 @@ def classes_and_links(documents: DataFrame, shingle: int = 5, percent: int = 80)
         # pairs among the members that have not been centres are open where their components differ
         used = centres.select("bucket", F.col("centre").alias("class"))
         left = members.drop("component").join(used, ["bucket", "class"], "left_anti")
-        if slots == 1:
-            left = _by_distance(left, centres, compared, percent)
         left = left.join(found.withColumnRenamed("node", "class"), "class", "left")
         left = written(left.withColumn("component", F.coalesce("component", "class")), "left")
-        apart = left.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        last, members = members, written(left.join(apart.where("low <> high").select("bucket"), "bucket", "left_semi"), "members")
+        last, members = members, _open(left)
         release(last, left, centres)
+        if slots == 1:
+            for _ in range(REFINEMENTS):
+                last, members = members, _possible(members, sets, percent)
+                release(last)
         slots *= 8
     if found is None:
         found = classes.limit(0).select(F.col("class").alias("node"), F.col("class").alias("component"))
