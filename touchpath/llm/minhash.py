@@ -7,7 +7,7 @@ densification), so that small sets have independent bins, too. Bands of bins nam
 Texts with equal sets are one class from the start. In each bucket only a star is checked: the smallest class
 against the others, on their full sets. A bucket of true copies ends there. Where members of several components are
 left, those go whose shingles that others have, too, are too few for any link, and the rest is looked at again with
-eight further centres per bucket, then 64, and so on; members of a bucket's largest component are no centres. So no
+64 further centres per bucket, then 4,096, and so on; members of a bucket's largest component are no centres. So no
 link between members of a bucket is lost, and rounds grow with the logarithm of a bucket's size.
 """
 
@@ -29,9 +29,6 @@ from touchpath.llm.shingles import joined, shingle_set
 # 0.3, which a common passage makes, fewer than one in a hundred shares one
 BANDS, ROWS = 100, 8
 
-# how often texts are told apart by their own shingles: each time, fewer texts are left to share them
-REFINEMENTS = 2
-
 _EMPTY = np.uint64(2**64 - 1)
 
 
@@ -147,9 +144,8 @@ def _possible(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     other = F.when(F.col("component") == F.col("first.component"), F.col("second")).otherwise(F.col("first.n"))
     enough = 100 * (100 + percent) * F.col("most") >= percent * F.greatest(100 * (F.col("n") + other), (100 + percent) * F.col("n"))
     kept = written(bounded.join(lows, "bucket").where(enough).select(*members.columns), "possible")
-    result = _open(kept)
-    release(held, bounded, kept)
-    return result
+    release(held, bounded)
+    return kept
 
 
 def _open(members: DataFrame) -> DataFrame:
@@ -219,10 +215,9 @@ def classes_and_links(documents: DataFrame, shingle: int = 5, percent: int = 80)
         last, members = members, _open(left)
         release(last, left, centres)
         if slots == 1:
-            for _ in range(REFINEMENTS):
-                last, members = members, _possible(members, sets, percent)
-                release(last)
-        slots *= 8
+            last, members = members, _possible(members, sets, percent)
+            release(last)
+        slots *= 64
     if found is None:
         found = classes.limit(0).select(F.col("class").alias("node"), F.col("class").alias("component"))
     return rows, classes.select("class", "first_id"), found
