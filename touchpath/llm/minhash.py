@@ -251,8 +251,9 @@ def deduplicated(documents: DataFrame, shingle: int = 5, percent: int = 80) -> D
     """
     found = written(near_duplicates(documents, shingle, percent).where("doc_id is not null"), "found")
     kept = found.groupBy("doc_id").agg(F.count(F.when(F.col("kept"), 1)).alias("n")).where("n <> 1")
-    kept = written(kept, "other").withColumnRenamed("doc_id", "_id")
-    same = documents["doc_id"].cast("bigint") == F.col("_id")
+    name = "_id" + "_" * max(map(len, documents.columns))  # longer than any column's name
+    kept = written(kept, "other").withColumnRenamed("doc_id", name)
+    same = documents["doc_id"].cast("bigint") == F.col(name)
     rest = documents.join(kept, same, "left_anti")
     repeated = documents.join(kept.where("n > 1"), same, "left_semi")
     return rest.unionAll(repeated.dropDuplicates(["doc_id"]))
