@@ -381,3 +381,14 @@ def test_responses_do_not_meet_by_what_they_refer_to(spark, folder):
     plan = QUERIES["op10_warc_segments"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
     responses = plan.split("Join")[0]
     assert plan.count("Join") == 1 and "Union" in responses
+
+
+def test_deduplication_with_a_column_named_like_its_own(spark):
+    from touchpath.llm import minhash
+
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text, 7), (2, text, 8), (3, "a b c d e f g", 9), (3, "a b c d e f g", 9), (4, None, 1), (None, text, 2)]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string, _id int")
+    found = minhash.deduplicated(documents)
+    assert found.columns == documents.columns
+    assert sorted((row["doc_id"] or 0, row["_id"]) for row in found.collect()) == [(0, 2), (1, 7), (3, 9), (4, 1)]
