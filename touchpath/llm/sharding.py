@@ -14,12 +14,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 from pyspark.sql.window import Window
 
 from touchpath.llm.common import extended, written
+from touchpath.operators.skew import if_small
 
 # ranges counted per open node and pass
 RANGES = 2_048
@@ -28,22 +29,36 @@ RANGES = 2_048
 SLOTS_PER_TASK = 20_000
 
 
-def name_code(name: Column) -> Column:
-    """A number that sorts as the first seven bytes of a name; null comes before all."""
-    start = F.rpad(F.hex(F.substring(F.encode(name, "UTF-8"), 1, 7)), 14, "0")
-    return F.coalesce(F.conv(start, 16, 10).cast("bigint"), F.lit(-1).cast("bigint"))
+DIMENSIONS = ["source", "lang", "size", "doc_id"]
 
 
-def text_bytes(text: Column) -> Column:
-    return F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint")
+def numbered(names: DataFrame) -> DataFrame:
+    """``name, number``: the distinct values of the only column, numbered from 0 in code point order, null first.
 
-
-DIMENSIONS = {
-    "source": lambda: name_code(F.col("source")),
-    "lang": lambda: name_code(F.col("lang")),
-    "size": lambda: text_bytes(F.col("text")),
-    "doc_id": lambda: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-1).cast("bigint")),
-}
+    Names are sorted by range, and a name's number is its place in its task plus the names of the tasks before. The
+    window runs over one row per task.
+    """
+    sorted_ = names.toDF("name").distinct().repartitionByRange("name").sortWithinPartitions("name")
+    placed = written(sorted_.withColumn("at", F.monotonically_increasing_id()), "names")  # task in the upper bits
+    placed = placed.select("name", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND(F.lit(2**33 - 1)).alias("place"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy("part").agg(F.count("*").alias("n"))
+    offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    return placed.join(offsets, "part").select("name", (F.col("offset") + F.col("place")).alias("number"))
+
+
+def metadata(documents: DataFrame) -> DataFrame:
+    """``d0`` to ``d3``, the dimensions of each row as numbers, ``weight, text_crc32, doc_id``, written."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
+    crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32")
+    doc_id = F.col("doc_id").cast("bigint")
+    names = [F.col(name).cast("string").alias(name) for name in DIMENSIONS[:2]]
+    key = F.coalesce(doc_id, F.lit(-1).cast("bigint")).alias("d3")
+    table = documents.select(*names, size.alias("d2"), key, (size + 1).alias("weight"), crc, doc_id.alias("doc_id"))
+    for i, name in enumerate(DIMENSIONS[:2]):
+        numbers = numbered(documents.select(F.col(name).cast("string"))).withColumnRenamed("number", f"d{i}")
+        table = table.join(if_small(numbers), table[name].eqNullSafe(numbers["name"])).drop(name, "name")
+    return written(table.select(*[f"d{i}" for i in range(len(DIMENSIONS))], "weight", "text_crc32", "doc_id"), "metadata")
 
 
 @dataclass
@@ -227,19 +242,16 @@ def _with_slots(table: DataFrame, rows: int, shards: int) -> DataFrame:
 def shard_documents(documents: DataFrame, shards: int = 16) -> DataFrame:
     """``doc_id, size, text_crc32, shard, slot`` of each row; the bytes of the shards are near equal.
 
-    ``size`` is the text's UTF-8 bytes plus 1 (null: 1). Dimensions are source, language, bytes and id, each as wide
-    as its part of the range over all documents. A split takes the document on its border to the nearer side, so
+    ``size`` is the text's UTF-8 bytes plus 1 (null: 1). Dimensions are source and language, as the numbers of their
+    names in order, bytes and id, each as wide as its part of the range over all documents. Equal texts are documents
+    of their own: shards take them by their metadata, and no group of them is kept together. A split takes the document on its border to the nearer side, so
     that a shard is off by less than a document per level. Documents that agree in the split's value and in their
     id stay together: repeated rows land in one shard, and a table of one row repeated lands in few. Null ids,
     sources and languages sort first. An empty table gives an empty table; other columns are not looked at.
     """
-    names = list(DIMENSIONS)
-    size = (text_bytes(F.col("text")) + 1).alias("weight")
-    crc = F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32")
-    columns = [make().alias(f"d{i}") for i, make in enumerate(DIMENSIONS.values())]
-    table = written(documents.select(*columns, size, crc, F.col("doc_id").cast("bigint").alias("doc_id")), "metadata")
-    tree, rows = grow(table.drop("text_crc32", "doc_id"), names, shards)
-    placed = _with_shard(table, tree, names).select(
-        "doc_id", F.col(f"d{len(names) - 1}").alias("key"), F.col("weight").alias("size"), "text_crc32", "shard"
+    table = metadata(documents)
+    tree, rows = grow(table.drop("text_crc32", "doc_id"), DIMENSIONS, shards)
+    placed = _with_shard(table, tree, DIMENSIONS).select(
+        "doc_id", F.col("d3").alias("key"), F.col("weight").alias("size"), "text_crc32", "shard"
     )
     return _with_slots(placed, rows, shards).select("doc_id", "size", "text_crc32", "shard", "slot")
