@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchpath.llm.common import portions, release, utf8, written
+from touchpath.llm.common import portions, release, unused, utf8, written
 
 _GEAR = np.array([random.Random(byte).getrandbits(32) for byte in range(256)], np.uint32)
 _BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\f\r"))
@@ -248,9 +248,9 @@ def passages(documents: DataFrame, words: int = 50) -> DataFrame:
 
 def without_passages(documents: DataFrame, found: DataFrame) -> DataFrame:
     """``documents`` with the passages of ``found`` cut out of their texts; the first document keeps each passage."""
-    spans = found.groupBy("doc_id").agg(F.collect_set(F.struct("start", "length")).alias("_spans"))
-    spans = spans.withColumnRenamed("doc_id", "_id")
-    joined = documents.join(spans, documents["doc_id"].cast("bigint") == spans["_id"], "left").drop("_id")
+    doc_id, cuts_ = unused(documents, "_id"), unused(documents, "_spans")
+    spans = found.groupBy(F.col("doc_id").alias(doc_id)).agg(F.collect_set(F.struct("start", "length")).alias(cuts_))
+    joined = documents.join(spans, documents["doc_id"].cast("bigint") == spans[doc_id], "left").drop(doc_id)
     names = documents.columns
     at = names.index("text")
 

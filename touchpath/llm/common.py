@@ -78,6 +78,14 @@ def extended(schema: StructType, **kinds: DataType) -> StructType:
     return StructType([*schema.fields, *[StructField(name, kind) for name, kind in kinds.items()]])
 
 
+def unused(documents: DataFrame, name: str) -> str:
+    """A column name that ``documents`` does not have."""
+    taken = {column.lower() for column in documents.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def portions(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, so that what Python holds of them at once stays small."""
     for batch in batches:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from touchpath.llm.common import words_of, written
+from touchpath.llm.common import unused, words_of, written
 
 # documents that meet in one group
 GROUP = 64
@@ -155,9 +155,10 @@ def mix_report(documents: DataFrame, seed: int = 0) -> DataFrame:
 
 
 def mix(documents: DataFrame, seed: int = 0) -> DataFrame:
-    """The mix itself: each row as often as it is taken, with all its columns."""
+    """The mix itself: each row as often as it is taken, with all its columns, whatever their names."""
     chosen = copies(written(sizes_of(documents), "sizes"), seed).where("copies > 0")
-    times = chosen.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "copies")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-    taken = documents.join(times.withColumnRenamed("copies", "_copies"), same)
-    return taken.withColumn("_turn", F.explode(F.sequence(F.lit(1), "_copies"))).select(*[F.col(f"`{c}`") for c in documents.columns])
+    doc_id, source, times, turn = (unused(documents, name) for name in ("_id", "_source", "_copies", "_turn"))
+    chosen = chosen.select(F.col("doc_id").alias(doc_id), F.col("source").alias(source), F.col("copies").alias(times))
+    same = F.col("doc_id").eqNullSafe(F.col(doc_id)) & F.col("source").eqNullSafe(F.col(source))
+    taken = documents.join(chosen, same).withColumn(turn, F.explode(F.sequence(F.lit(1), times)))
+    return taken.select(*[F.col(f"`{name}`") for name in documents.columns])

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchpath.llm.common import bound, written
+from touchpath.llm.common import bound, unused, written
 
 # fixed values: forms of address, with the gender they tell
 MEN = ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr", "господин")
@@ -307,14 +307,6 @@ def replacements(found: DataFrame, secret: str) -> DataFrame:
         made = written(kept.unionByName(other), "replacements")
 
 
-def unused(documents: DataFrame, name: str) -> str:
-    """A column name that ``documents`` does not have."""
-    taken = {column.lower() for column in documents.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def replace(documents: DataFrame, secret: str = "touchpath") -> DataFrame:
     """``documents`` with the entities in their texts replaced and ``n_replaced`` after the columns.
 
