@@ -181,18 +181,19 @@ def _pairs(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
     return alike.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
 
 
-def classes_and_links(documents: DataFrame, shingle: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The sketch, ``class, first_id, n`` of the distinct sets, and ``node, component`` of the classes that have links."""
-    rows = written(sketch(documents, shingle), "sketch")
-    grouped = rows.where("class is not null").groupBy("class", "n_shingles", "buckets").agg(F.min("doc_id").alias("first_id"))
-    classes = written(grouped.withColumnRenamed("n_shingles", "n"), "classes")
-    dealt = classes.select("class", "n", F.explode("buckets").alias("bucket"))
+def together(dealt: DataFrame) -> DataFrame:
+    """The members of buckets with several classes, from ``class, n, bucket``: each class its own component."""
     shared = dealt.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
     members = dealt.join(shared.select("bucket"), "bucket").withColumn("component", F.col("class"))
-    members = written(members.withColumn("most", F.col("n")), "members")
+    return written(members.withColumn("most", F.col("n")), "members")
 
-    wanted = classes.join(members.select("class").distinct(), "class", "left_semi").select("class", "first_id")
-    sets = written(_full_sets(documents, wanted, shingle), "sets")
+
+def linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """``node, component`` of the classes that have links, None where nothing met.
+
+    ``members`` is what ``together`` gives; ``sets`` holds their ``class, shingles``. All pairs of a bucket whose sets
+    share ``percent`` % of their union end in one component.
+    """
     links, tested, found = None, None, None
     slots = 1
     while not members.isEmpty():
@@ -218,9 +219,32 @@ def classes_and_links(documents: DataFrame, shingle: int = 5, percent: int = 80)
             last, members = members, _possible(members, sets, percent)
             release(last)
         slots *= 64
+    return found
+
+
+def classes_and_links(documents: DataFrame, shingle: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sketch, ``class, first_id, n`` of the distinct sets, and ``node, component`` of the classes that have links."""
+    rows = written(sketch(documents, shingle), "sketch")
+    grouped = rows.where("class is not null").groupBy("class", "n_shingles", "buckets").agg(F.min("doc_id").alias("first_id"))
+    classes = written(grouped.withColumnRenamed("n_shingles", "n"), "classes")
+    members = together(classes.select("class", "n", F.explode("buckets").alias("bucket")))
+    wanted = classes.join(members.select("class").distinct(), "class", "left_semi").select("class", "first_id")
+    sets = written(_full_sets(documents, wanted, shingle), "sets")
+    return rows, classes.select("class", "first_id"), linked(members, sets, percent)
+
+
+def by_component(rows: DataFrame, classes: DataFrame, found: DataFrame | None) -> DataFrame:
+    """``rows``, which have ``doc_id`` and ``class``, with ``component_id``, the smallest doc_id of the row's component,
+    and ``kept``, whether it is the row's own. Rows without a class or without a doc_id stay alone."""
     if found is None:
         found = classes.limit(0).select(F.col("class").alias("node"), F.col("class").alias("component"))
-    return rows, classes.select("class", "first_id"), found
+    placed = classes.join(found.withColumnRenamed("node", "class"), "class", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "class"))
+    lowest = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    by_class = placed.join(lowest, "component").select("class", F.col("component_id").alias("lowest"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("lowest", "doc_id"))
+    joined_ = rows.join(by_class, "class", "left").withColumn("component_id", component).drop("class", "lowest")
+    return joined_.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -233,15 +257,7 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
     gives an empty table. Other columns are not looked at.
     """
     rows, classes, found = classes_and_links(documents, shingle, percent)
-    placed = classes.join(found.withColumnRenamed("node", "class"), "class", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "class"))
-    lowest = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_class = placed.join(lowest, "component").select("class", "component_id")
-    joined_ = rows.drop("buckets").join(by_class, "class", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return joined_.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    )
+    return by_component(rows.drop("buckets"), classes, found)
 
 
 def deduplicated(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:

@@ -62,6 +62,11 @@ def op9_spot_signatures(spark: SparkSession, folder: str) -> DataFrame:
     return spotsigs.neighbours(documents(spark, folder))
 
 
+def spot_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """The search over all documents by the fingerprints of ``op9_spot_signatures``."""
+    return spotsigs.near_duplicates(documents(spark, folder))
+
+
 def op10_warc_segments(spark: SparkSession, folder: str) -> DataFrame:
     ship(spark)
     return warc.round_trip(spark.read.parquet(f"{folder}/pages.parquet"))
@@ -107,7 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         op1_byte_bpe, op2_kd_tree_shards, op3_chunk_dedup, op4_pivotal_mix, op5_minhash, op6_weak_supervision,
         op7_language_gru, op8_surrogates, op9_spot_signatures, op10_warc_segments, op11_line_runs, op12_merkle_blocks,
-        op13_recompression_runs,
+        op13_recompression_runs, spot_near_duplicates,
     )
 }
 

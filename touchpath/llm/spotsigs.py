@@ -4,7 +4,11 @@ Wherever a common word stands (an anchor), the content words that follow it, com
 anchor and its chain are one signature. Signatures stand where running text is, not where lists and menus are. A
 fingerprint is the set of a text's signatures; two are compared by Jaccard similarity. Sets of very different sizes
 cannot be alike: sets are numbered by ranges of size such that only equal or neighbouring numbers need comparing, and
-a comparison stops as soon as the similarity asked for is out of reach.
+a comparison stops as soon as the similarity asked for is out of reach. Alike texts are found in a whole corpus by
+their rarest signatures: two sets that share enough share one of them.
+
+Texts of languages whose common words are not listed have chains as well: where listed words are rare, one word in
+eight, chosen by its hash, is taken for common.
 """
 
 from __future__ import annotations
@@ -20,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from touchpath.llm import minhash
 from touchpath.llm.common import portions, utf8, written
 from touchpath.llm.shingles import joined, word_hashes
 
@@ -33,6 +38,9 @@ ANCHORS = (
 
 CHAIN = 3  # content words of a chain
 
+# a text with fewer than one listed word in this many gets further anchors: the words whose hash divides by OTHER
+RARE, OTHER = 16, np.uint64(8)
+
 _PUNCTUATION = bytes(c for c in range(128) if not chr(c).isalnum())
 _PLAIN = bytes.maketrans(
     _PUNCTUATION + bytes(range(65, 91)), b" " * len(_PUNCTUATION) + bytes(range(97, 123))
@@ -51,6 +59,8 @@ def signatures(text: bytes) -> np.ndarray:
     hashes = word_hashes(words)
     place = np.minimum(np.searchsorted(_ANCHOR_HASHES, hashes), len(_ANCHOR_HASHES) - 1)
     common = _ANCHOR_HASHES[place] == hashes
+    if RARE * common.sum() < len(words):
+        common |= hashes % OTHER == 0
     content = hashes[~common]
     anchors = np.flatnonzero(common)
     first = anchors - np.arange(len(anchors))  # content words before each anchor: where its chain begins
@@ -171,18 +181,68 @@ def neighbours(documents: DataFrame) -> DataFrame:
     return found.where("part is null").select(*_FIELDS).unionAll(closed.mapInArrow(close, _RESULT))
 
 
-def fingerprints(documents: DataFrame) -> DataFrame:
-    """``doc_id, signatures, partition`` of each row: the set itself and the number of its range of sizes at 0.8.
+def fingerprints(documents: DataFrame, percent: int = 80) -> DataFrame:
+    """``doc_id, n, class, signatures, partition`` of each row: the set itself, its size, a hash that names it, and the
+    number of its range of sizes for a similarity of ``percent`` %.
 
-    A null text is empty and has no signatures (partition 0); rows are treated one by one.
+    A null text is empty and has no signatures (class null, partition 0); rows are treated one by one.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches):
             sets = [signatures(text) for text in utf8(batch.column(1))]
-            lists = pa.array([signs.view(np.int64) for signs in sets], pa.list_(pa.int64()))
-            parts = pa.array([partition_of(len(signs), 0.8) for signs in sets], pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, parts], ["doc_id", "signatures", "partition"])
+            names = [xxhash.xxh3_64_intdigest(signs.tobytes()) - 2**63 if len(signs) else None for signs in sets]
+            columns = [
+                batch.column(0), pa.array([len(signs) for signs in sets], pa.int64()), pa.array(names, pa.int64()),
+                pa.array([signs.view(np.int64) for signs in sets], pa.list_(pa.int64())),
+                pa.array([partition_of(len(signs), percent / 100) for signs in sets], pa.int32()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "class", "signatures", "partition"])
 
     chosen = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return chosen.mapInArrow(work, "doc_id bigint, signatures array<bigint>, partition int")
+    return chosen.mapInArrow(work, "doc_id bigint, n bigint, class bigint, signatures array<bigint>, partition int")
+
+
+def _meetings(classes: DataFrame, percent: int) -> DataFrame:
+    """``class, n, bucket``: where classes that may share ``percent`` % of their union meet.
+
+    Two such sets share ``percent`` % of the larger, so each has a common signature among all but that many of its own
+    in one order, less one. The order is by rarity, so that common phrases name no bucket; signatures of a single class
+    fill places, but nobody meets there. A bucket is a signature and a partition: sets come to their own partition's
+    and to the next, and one without a set of its own partition has no pair that another lacks.
+    """
+    each = classes.select("class", "n", "partition", F.explode("signatures").alias("signature"))
+    held = each.groupBy("signature").agg(F.count("*").alias("classes"))
+    shared = each.join(held.where("classes > 1"), "signature")
+    in_class = Window.partitionBy("class")
+    place = F.row_number().over(in_class.orderBy("classes", "signature"))
+    alone = F.col("n") - F.count("*").over(in_class)
+    ranked = shared.select("*", (place + alone).alias("place"))
+    rare = ranked.where(100 * (F.col("place") - 1) <= (100 - percent) * F.col("n"))
+    cells = F.explode(F.array("partition", F.col("partition") + 1)).alias("cell")
+    dealt = rare.select("class", "n", "partition", "signature", cells)
+    dealt = dealt.select("class", "n", F.xxhash64("signature", "cell").alias("bucket"), (F.col("cell") == F.col("partition")).alias("own"))
+    dealt = written(dealt, "spot_buckets")
+    own = dealt.groupBy("bucket").agg(F.max("own").alias("own"), F.count("*").alias("k")).where("own and k > 1")
+    return dealt.drop("own").join(own.select("bucket"), "bucket", "left_semi")
+
+
+def near_duplicates(documents: DataFrame, percent: int = 80) -> DataFrame:
+    """``doc_id, n, component_id, kept`` for each row: its signatures, and the smallest doc_id reachable through links.
+
+    Links join texts whose signatures share at least ``percent`` % of their union; none is lost. One row of each
+    component is kept: that whose doc_id is the component's. Texts without words have no signatures and stay alone.
+    Repeated rows stay; a null doc_id stays alone and is kept. An empty table gives an empty table. Other columns are
+    not looked at.
+
+    Texts with equal sets are one class from the start. Classes meet by their rarest signatures within equal and
+    neighbouring partitions; in each bucket stars are compared as in ``minhash.linked``, never all pairs.
+    """
+    rows = written(fingerprints(documents, percent), "spots")
+    named = rows.where("class is not null")
+    grouped = named.groupBy("class", "n", "partition", "signatures").agg(F.min("doc_id").alias("first_id"))
+    classes = written(grouped, "spot_classes")
+    members = minhash.together(_meetings(classes, percent))
+    sets = classes.select("class", F.col("signatures").alias("shingles"))
+    found = minhash.linked(members, sets, percent)
+    return minhash.by_component(rows.select("doc_id", "n", "class"), classes.select("class", "first_id"), found)
