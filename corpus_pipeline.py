@@ -9,18 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchpath.llm import bpe, langid, minhash, mixing, pii
-from touchpath.llm.common import ship, written
+from touchpath.llm.common import ship, unused, written
 
 # documents whose language is less likely than this go, as do those without a letter
 LEAST_SCORE = 0.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told."""
+    """Documents whose language can be told, with their columns, also those named as the network's are.
+
+    Null and empty texts and texts without a letter go; repeated rows are judged alike.
+    """
     ship(spark)
-    judged = langid.identify(docs)
+    own = {name: unused(docs, f"_{name}") for name in docs.columns if name.lower() in ("lang_pred", "score", "held_out")}
+    judged = langid.identify(docs.withColumnsRenamed(own))
     known = judged.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
-    return known.select(*docs.columns)
+    return known.select(*[F.col(f"`{own.get(name, name)}`").alias(name) for name in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
