@@ -81,3 +81,20 @@ def test_scores_and_report(spark, folder, tmp_path):
     assert store.read("propensity_score").count() == 135
     report = spark.read.option("header", True).option("multiLine", True).csv(store.path("score_delta_snapshots"))
     assert report.count() == 60
+
+
+def test_lifecycle_stored_by_contact(spark, folder, db, tmp_path):
+    i = Inputs(spark, folder)
+    plain = daily.Store(spark, str(tmp_path), fx.SETTINGS)
+    by_contact = dataclasses.replace(plain, database="default", buckets=4)
+    spread = dataclasses.replace(by_contact, settings=dataclasses.replace(fx.SETTINGS, rows_per_task=60))
+    # each run replaces what the one before has left, in either form
+    for store, exchange in ((plain, True), (by_contact, False), (by_contact, False), (spread, True), (by_contact, False)):
+        daily.refresh_lifecycle(store, i.activity, i.contact)
+        plan = daily.outlook(store, None)._jdf.queryExecution().executedPlan().toString()
+        assert ("Exchange" in plan) == exchange
+        assert spark.catalog.tableExists("default.lifecycle_full") != exchange
+        if store is not plain:
+            daily.refresh_personnel(store, i.task, i.event, i.event_relation, i.user, i.territory, i.contact)
+            assert compare.difference(store.read("personnel_outcome"), ORACLE["personnel_outcome"], db) is None
+    spark.sql("DROP TABLE default.lifecycle_full")

@@ -16,7 +16,7 @@ from touchpath.operators import cleaning, lifecycle, personnel, propensity, reco
 from touchpath.operators.skew import Heavy, arrange, by_size, measure
 from touchpath.settings import ModelSettings, Settings
 from touchpath.sources import sinks
-from touchpath.sources.tables import WEB_TRACKING_COLUMNS, project
+from touchpath.sources.tables import WEB_TRACKING_COLUMNS, project, read_table
 
 
 @dataclass(frozen=True)
@@ -24,11 +24,19 @@ class Store:
     spark: SparkSession
     folder: str
     settings: Settings
+    database: str | None = None  # where tables stored by contact are listed; their files are in the folder as well
+    buckets: int = 2_000  # of such a table
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
+    def by_contact(self, name: str) -> bool:
+        """Whether a table is stored in buckets by contact."""
+        return self.database is not None and self.spark.catalog.tableExists(f"{self.database}.{name}")
+
     def read(self, name: str) -> DataFrame:
+        if self.by_contact(name):
+            return read_table(self.spark, f"{self.database}.{name}")
         return self.spark.read.parquet(self.path(name))
 
     def refresh(self, name: str, rows: DataFrame) -> DataFrame:
@@ -36,6 +44,20 @@ class Store:
         sinks.full_refresh(rows, self.path(name))
         return self.read(name)
 
+    def refresh_by_contact(self, name: str, rows: DataFrame, heavy: Heavy | None) -> DataFrame:
+        """Replace a table that others scan by contact, and return it as written.
+
+        With a database it is stored in buckets by contact, so that later jobs start without an exchange. A heavy
+        contact would make one bucket too large: such a table is stored as it comes, and spread when it is read.
+        """
+        if self.database is None:
+            return self.refresh(name, rows)
+        if heavy is not None:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.database}.{name}")  # the list entry; the files are replaced
+            return self.refresh(name, rows)
+        sinks.full_refresh_table(rows, f"{self.database}.{name}", self.buckets, self.path(name))
+        return self.read(name)
+
     def heavy(self, log: DataFrame) -> Heavy | None:
         return measure(log, self.settings.rows_per_task)
 
@@ -60,7 +82,8 @@ def refresh_lifecycle(
         rows = lifecycle.lifecycle_rows(activity, contact, rules, store.settings, heavy=heavy)
         return rows.select(*lifecycle.FULL_COLUMNS, "branch", "seq", "is_last")
 
-    rows = store.refresh("lifecycle_full", by_size([activity, contact], store.heavy(activity), build))
+    heavy = store.heavy(activity)
+    rows = store.refresh_by_contact("lifecycle_full", by_size([activity, contact], heavy, build), heavy)
     store.refresh("lifecycle_transitions", lifecycle.transitions(rows))
     status = store.refresh("current_status", lifecycle.current_status(rows))
     sinks.dated_snapshot(status, store.path("lifecycle_snapshots"), store.settings.as_of)
@@ -123,6 +146,16 @@ def refresh_recommendations(
     store.refresh("recommendation_execution", recommend.recommendation_execution(history, consumption))
 
 
+def outlook(store: Store, heavy: Heavy | None) -> DataFrame:
+    """What follows each stored lifecycle row. Stored by contact, the rows are scanned where they are."""
+    placed = store.by_contact("lifecycle_full")
+
+    def build(rows: DataFrame, heavy: Heavy | None) -> DataFrame:
+        return personnel.with_outlook(rows if placed and heavy is None else arrange(rows, heavy))
+
+    return by_size([store.read("lifecycle_full")], heavy, build)
+
+
 def refresh_personnel(
     store: Store,
     task: DataFrame,
@@ -133,17 +166,11 @@ def refresh_personnel(
     contact: DataFrame,
 ) -> None:
     """Personnel actions and whether they led to the next stage."""
-    rows = store.read("lifecycle_full")
-    heavy = store.heavy(rows)
+    heavy = store.heavy(store.read("lifecycle_full"))
     actions = personnel.personnel_activity(
         task, event, event_relation, user, territory, contact, store.settings, heavy=heavy
     )
-
-    def build(rows: DataFrame, heavy: Heavy | None) -> DataFrame:
-        return personnel.with_outlook(arrange(rows, heavy))
-
-    outlook = by_size([rows], heavy, build)
-    store.refresh("personnel_outcome", personnel.personnel_outcome(actions, outlook))
+    store.refresh("personnel_outcome", personnel.personnel_outcome(actions, outlook(store, heavy)))
 
 
 def refresh_web_tracking(store: Store, web_tracking: DataFrame) -> None:
