@@ -68,3 +68,29 @@ def test_both_channels_hold_every_row_once(spark):
     assert [tuple(row) for row in triage.trusted(found).collect()] == [("a", 7, "Call", dt.date(2020, 1, 1))]
     assert sorted(map(str, (row.note for row in triage.rejects(found).collect()))) == ["None", "b"]
     assert {row.reason: row.n for row in triage.reasons(found).collect()} == {triage.UNKNOWN_TYPE: 1, triage.NO_CONTACT: 1}
+
+
+def test_a_date_is_parsed_once_per_row(spark, tmp_path):
+    spark.createDataFrame([("7", "Call", "soon", "n")], RAW).write.parquet(str(tmp_path / "raw"))
+    rows = triage.rejects(triage.triaged(spark.read.parquet(str(tmp_path / "raw")), SETTINGS))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("gettimestamp") == len(triage.DATE_FORMS)
+    assert [row.reason for row in rows.collect()] == [triage.BAD_DATE]
+
+
+@pytest.mark.parametrize(
+    "text, day",
+    [
+        ("20200230", None), ("2020-04-31", None), ("04/31/2020", None), ("2020-13-01", None),
+        ("12/31/2019", dt.date(2019, 12, 31)), ("20191231", dt.date(2019, 12, 31)), ("2019-11-30", dt.date(2019, 11, 30)),
+        ("2020-02-29\n", None), ("02/29/2019", None),
+    ],
+)
+def test_shapes_of_dates(spark, text, day):
+    assert one(spark, day=text).activity_date == day
+
+
+def test_columns_named_like_internal_ones_are_kept(spark):
+    rows = spark.createDataFrame([("7", "Call", "2020-02-29", "x", "y")], RAW.replace("note", "_c") + ", _contact string")
+    found = triage.triaged(rows, SETTINGS).first()
+    assert (found["_c"], found["_contact"], found.contact_id) == ("x", "y", 7)
