@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchpath.functions import scans as s
+from touchpath.operators import skew
 from touchpath.operators.skew import Heavy, arrange, by_size, measure
 
 DAY0 = dt.date(2020, 1, 1)
@@ -145,3 +146,12 @@ def test_ahead_is_trailing_with_time_reversed(spark):
     assert {(r.contact_id, int(r.seq)): r.n for r in ahead.collect()} == {
         (r.contact_id, 9999 - int(r.seq)): r.n for r in back.collect()
     }
+
+
+def test_a_log_of_known_size_is_dealt_over_as_many_tasks_as_its_rows_need(spark, monkeypatch):
+    monkeypatch.setattr(skew, "DEALT_ROWS", 10)
+    log = make_log(5)
+    frame = spark.createDataFrame(log, SCHEMA)
+    dealt = arrange(frame, None, log_rows=20 * 10)
+    assert dealt.rdd.getNumPartitions() == 20
+    assert collected(s.with_scans(dealt, scans())) == collected(s.with_scans(arrange(frame, None), scans()))

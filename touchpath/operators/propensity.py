@@ -91,7 +91,7 @@ def propensity_rows(
     )
     rows = with_defaults(with_advisor_flag(real.unionByName(present)), settings)
     repeats = ("contact_id", "activity_date", "activity_type", "fund_code", "additional_detail")
-    return arrange(rows, heavy, repeats if features.drop_repeats else ())
+    return arrange(rows, heavy, repeats if features.drop_repeats else (), log_rows=settings.log_rows)
 
 
 def with_fund_counts(rows: DataFrame) -> DataFrame:

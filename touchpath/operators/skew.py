@@ -24,6 +24,8 @@ from touchpath.operators.dedup import keep_one
 SMALL_ROWS = 100_000
 # tasks over which the rows of one key are dealt in a join with a side that is not small
 SPREAD = 16
+# rows of ordinary contacts in one task, on average
+DEALT_ROWS = 250_000
 
 
 @dataclass(frozen=True)
@@ -59,17 +61,23 @@ def by_size(tables: Sequence[DataFrame], heavy: Heavy | None, build: Callable[..
 
 
 def arrange(
-    rows: DataFrame, heavy: Heavy | None, distinct_by: Sequence[str] = (), keep_last: bool = False
+    rows: DataFrame,
+    heavy: Heavy | None,
+    distinct_by: Sequence[str] = (),
+    keep_last: bool = False,
+    log_rows: int | None = None,
 ) -> DataFrame:
     """Place rows for scanning, after dropping duplicates by ``distinct_by``.
 
     Ordinary contacts: one exchange on the contact, which serves the duplicate
-    check and every scan after it. Heavy contacts: duplicates are dropped
+    check and every scan after it. Given the rows of the log, the exchange makes
+    as many parts as they need; else Spark joins parts up to a number of bytes
+    that says little of the memory they take. Heavy contacts: duplicates are dropped
     before and after the shuffle, then the total order is cut into ranges of
     about equal size, and the range number is written down as ``chunk``.
     """
     if heavy is None:
-        rows = rows.repartition(KEY)
+        rows = rows.repartition(_parts(rows.sparkSession, log_rows), KEY) if log_rows else rows.repartition(KEY)
         return keep_one(rows, distinct_by, keep_last) if distinct_by else rows
     if distinct_by:
         rows = keep_one(rows, distinct_by, keep_last)
@@ -79,6 +87,10 @@ def arrange(
     return ranges.withColumn(CHUNK, F.spark_partition_id()).checkpoint()
 
 
+def _parts(spark: SparkSession, log_rows: int) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(log_rows / DEALT_ROWS))
+
+
 def add_contact(rows: DataFrame, contact: DataFrame, heavy: Heavy | None, how: str = "left") -> DataFrame:
     """Join contact attributes to rows that ``by_size`` has split."""
     return rows.join(if_small(contact) if heavy else contact, KEY, how)

@@ -176,6 +176,8 @@ class Settings:
     draw_seed: str = "123"
     # a contact with more activities than this is spread over several tasks
     rows_per_task: int = 1_000_000
+    # rows of the log, where they are known: it is then dealt over as many tasks as they need
+    log_rows: int | None = None
 
 
 @dataclass(frozen=True)

@@ -89,6 +89,11 @@ def activity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def log_rows(spark: SparkSession, folder: str) -> int:
+    """About how many rows the activity log has, from the footers of its table."""
+    return table(spark, folder, "lineitem").count()
+
+
 def raw_activity(spark: SparkSession, folder: str) -> DataFrame:
     """The log as untrusted text: dates in several forms, types in any case, and rows that cannot be read."""
     log = activity(spark, folder)
