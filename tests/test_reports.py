@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from touchpath.operators import personnel, propensity, recommend, scores
+from touchpath.operators import personnel, propensity, recommend, scores, timeline
 from touchpath.settings import ModelSettings, Settings
 
 D = dt.date
@@ -250,3 +250,25 @@ def test_model_finds_a_planted_signal(spark):
     model = propensity.fit(training, propensity.SECOND_FEATURES, ModelSettings(rounds=3, step_size=0.3, max_depth=3))
     assert propensity.area_under_curve(model, training, propensity.SECOND_FEATURES) > 0.9
     assert training.count() == propensity.score(model, training, propensity.SECOND_FEATURES).count()
+
+
+def test_steps_counted_along_the_timeline_are_those_of_its_last_row(spark):
+    chance = random.Random(5)
+    kinds = ("WebHit", "Marketing.Webinar", "Assisted.Roadshow", "Meeting", "EdForum", "Call", None)
+    log = [
+        (n % 7, f"N{n % 7}", chance.choice(kinds), D(2019, 1, 1) + dt.timedelta(chance.randrange(730)), f"{n:04}", None, None, None)
+        for n in range(400)
+    ]
+    activity = spark.createDataFrame(
+        log,
+        "contact_id int, contact_name string, activity_type string, activity_date date, seq string, "
+        "sales_amount decimal(18,2), additional_detail string, link string",
+    )
+    contact = spark.createDataFrame(
+        [(n, f"N{n}", D(2018, 1, 1)) for n in range(9)], "contact_id int, contact_name string, created_date date"
+    )
+    rows = recommend.with_step_counts(timeline.timeline_rows(activity, contact, SETTINGS, None))
+    last = timeline.first_last_flags(rows).where("is_last").select("contact_id", "contact_name", *recommend.STEP_COLUMNS)
+    counts = recommend.step_counts(activity, contact, SETTINGS)
+    assert last.schema.simpleString() == counts.select(*last.columns).schema.simpleString()
+    assert sorted(last.collect()) == sorted(counts.select(*last.columns).collect())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from dataclasses import dataclass
 
@@ -182,9 +182,10 @@ def leveled_rows(
     settings: Settings,
     *,
     heavy: Heavy | None = None,
+    extend: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
-    """Timeline rows with their level."""
-    rows = timeline_rows(activity, contact, settings, heavy, rules.distinct_by, rules.keep_last)
+    """Timeline rows with their level, and with what ``extend`` adds to them."""
+    rows = extend(timeline_rows(activity, contact, settings, heavy, rules.distinct_by, rules.keep_last))
     attributes = contact.select("contact_id", "contact_type", F.col(rules.first_sale).alias("first_sale_date"))
     return with_levels(add_contact(rows, attributes, heavy), rules, settings)
 
@@ -196,9 +197,10 @@ def lifecycle_rows(
     settings: Settings,
     *,
     heavy: Heavy | None = None,
+    extend: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
-    """Every timeline row with level, change, path, spell and labels."""
-    return with_labels(with_changes(leveled_rows(activity, contact, rules, settings, heavy=heavy)))
+    """Every timeline row with level, change, path, spell and labels, and with what ``extend`` adds to it."""
+    return with_labels(with_changes(leveled_rows(activity, contact, rules, settings, heavy=heavy, extend=extend)))
 
 
 FULL_COLUMNS = (
@@ -223,10 +225,10 @@ def transitions(rows: DataFrame) -> DataFrame:
     return full(rows).where(F.col("recent_level_change").isNotNull())
 
 
-def current_status(rows: DataFrame) -> DataFrame:
-    """Last row of each contact."""
+def current_status(rows: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """Last row of each contact, with ``more`` of its columns."""
     return rows.where("is_last").select(
-        "contact_id", "contact_name", "engagement_level", "duration_last_level", "full_level_cycle"
+        "contact_id", "contact_name", "engagement_level", "duration_last_level", "full_level_cycle", *more
     )
 
 

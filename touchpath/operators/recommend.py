@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from touchpath.functions import columns as c
+from touchpath.functions.scans import sum_within, with_scans
 from touchpath.operators.dedup import keep_one
 from touchpath.operators.skew import Heavy, if_small, is_small
 from touchpath.operators.timeline import timeline_rows
 from touchpath.settings import STEP_WINDOWS, Settings
 
 STEPS = tuple(STEP_WINDOWS)
+STEP_COLUMNS = tuple(step.lower() for step in STEPS)
 
 
 def step_counts(
@@ -39,6 +41,18 @@ def step_counts(
     return daily.groupBy("contact_id").agg(F.max_by("contact_name", "activity_date").alias("contact_name"), *totals)
 
 
+def with_step_counts(rows: DataFrame) -> DataFrame:
+    """Timeline rows with the activities per step in the days up to each; those of a contact's last row are its
+    ``step_counts``. For who reads the timeline anyway: the log is then not read and placed a second time."""
+    return with_scans(
+        rows,
+        {
+            column: sum_within(F.col("activity_type").isin(*types).cast("int"), days)
+            for column, (types, days) in zip(STEP_COLUMNS, STEP_WINDOWS.values())
+        },
+    )
+
+
 def step_counts_long(counts: DataFrame) -> DataFrame:
     """One row per contact and step."""
     return counts.unpivot(["contact_id", "contact_name"], [step.lower() for step in STEPS], "step", "n")
