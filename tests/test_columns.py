@@ -19,6 +19,7 @@ def one(spark, column, schema="x int", row=(0,)):
         ("aaaaaaaaaaaaaaa", "aaaaaaaaaaaaaaaAAA"),
         ("AAAAAAAAAAAAAAA", "AAAAAAAAAAAAAAA555"),
         ("001A0000006Vm9rIAC", "001A0000006Vm9rIAC"),
+        ("ÀBCé5ZZZZZ😀a-_Ä", "ÀBCé5ZZZZZ😀a-_ÄG5A"),
         (None, None),
     ],
 )

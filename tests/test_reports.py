@@ -91,6 +91,23 @@ def test_present_day_contacts_get_nothing(spark):
     assert recommended(spark, [], "PresentDay").count() == 0
 
 
+def test_consumption_takes_each_record_id_once_and_no_missing_ones(spark):
+    short = "001A0000006Vm9r"
+    visits = spark.createDataFrame(
+        [(short, "a", D(2020, 1, 2)), (short, "a", D(2020, 1, 1)), (short + "IAC", "a", D(2019, 1, 1)), (None, "a", D(2020, 1, 1))]
+        + [("001a0000006Vm9r", "a", D(2020, 1, 1)), (short, None, D(2020, 1, 1)), (short, "b", D(2020, 1, 1))],
+        "contact_id_15 string, event_name string, event_ts date",
+    ).selectExpr("*", "'1' AS session_key", f"'https://{SETTINGS.content_host}/x' AS event_url")
+    people = spark.createDataFrame(
+        [(1, "one", short + "IAC", "A"), (2, "two", None, "A"), (3, "three", short + "IAC", "A")],
+        "contact_id int, contact_name string, record_id string, account_name string",
+    )
+    wanted = spark.createDataFrame([("a",), (None,)], "event_name string")
+    found = recommend.content_consumption(visits, people, wanted, SETTINGS).collect()
+    assert {(r.contact_id, r.event_name, r.activity_date) for r in found} == {(i, "a", D(2019, 1, 1)) for i in (1, 3)}
+    assert len(found) == 2
+
+
 HISTORY = (
     "contact_id int, contact_name string, engagement_level string, sku_next_content string, "
     "url_next_content string, recommendation_date date"

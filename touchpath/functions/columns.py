@@ -28,11 +28,11 @@ def record_id_18(record_id: Column) -> Column:
     passes through.
     """
     capitals = CHECK_CHARACTERS[:26]
-    bits = F.translate(F.regexp_replace(record_id, "[^A-Z]", "0"), capitals, "1" * len(capitals))
 
     def check(block: int) -> Column:
-        number = F.conv(F.reverse(F.substring(bits, block * 5 + 1, 5)), 2, 10).cast("int")
-        return F.substr(F.lit(CHECK_CHARACTERS), number + 1, F.lit(1))
+        letters = [F.substring(record_id, block * 5 + place + 1, 1) for place in range(5)]
+        bits = [F.when(letter.isin(*capitals), 1 << place).otherwise(0) for place, letter in enumerate(letters)]
+        return F.substr(F.lit(CHECK_CHARACTERS), sum(bits[1:], bits[0]) + 1, F.lit(1))
 
     return F.when(F.length(record_id) == 15, F.concat(record_id, *[check(block) for block in range(3)])).otherwise(
         record_id

@@ -97,9 +97,11 @@ def content_consumption(
     """First time each contact met each listed content.
 
     Visits are reduced to one per record id and content before any contact is
-    looked up, so a contact with endless visits joins as few rows.
+    looked up, so a contact with endless visits joins as few rows. Visits without a record id go by the short id; the
+    null-safe join then asks for no test of the long one, which would compute it once more for each visit.
     """
-    visits = web_tracking.where(F.col("event_url").contains(settings.content_host)).select(
+    known = F.col("event_url").contains(settings.content_host) & F.col("contact_id_15").isNotNull()
+    visits = web_tracking.where(known).select(
         c.record_id_18(F.col("contact_id_15")).alias("record_id"),
         "event_name",
         F.struct(F.col("event_ts").cast("date").alias("day"), "session_key", "event_url").alias("visit"),
@@ -107,9 +109,9 @@ def content_consumption(
     first = visits.groupBy("record_id", "event_name").agg(F.min("visit").alias("visit"))
     listed = first.join(if_small(wanted.select("event_name").distinct()), "event_name", "left_semi")
     people = contact.where(F.col("account_name") != settings.excluded_account).select(
-        "record_id", "contact_id", "contact_name"
+        F.col("record_id").alias("_record_id"), "contact_id", "contact_name"
     )
-    return listed.join(people, "record_id").select(
+    return listed.join(people, F.col("record_id").eqNullSafe(F.col("_record_id"))).select(
         "contact_id",
         "contact_name",
         F.lit("WebHit").alias("activity_type"),
