@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from touchpath.llm import chunkdedup, pii, sharding, spotsigs
+from touchpath.llm import chunkdedup, minhash, pii, sharding, spotsigs
 from touchpath.llm.queries import QUERIES
 
 
@@ -156,3 +156,25 @@ def test_operators_keep_columns_named_like_their_own(documents):
         rows = found.collect()
         assert found.columns == named.columns and len(rows) == named.count()
         assert all(row[name] == f"{name} {row.doc_id}" for row in rows for name in OWN)
+
+
+def test_copies_that_fail_the_limit_by_little_are_told_apart_by_their_core(spark, monkeypatch):
+    """Copies that lack a stretch of a text are not compared with each of its near copies."""
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(150)]
+    texts = {0: " ".join(base)}
+    for _ in range(60):
+        words = list(base)
+        for at in rng.choice(150, 2, replace=False):
+            words[at] = f"x{rng.integers(10**9)}"
+        texts[len(texts)] = " ".join(words)
+    for _ in range(25):
+        start = int(rng.integers(0, 126))
+        texts[len(texts)] = " ".join(base[:start] + base[start + 24 :])
+    sets = {i: {tuple(words[j : j + 5]) for j in range(len(words) - 4)} for i, words in ((i, text.split()) for i, text in texts.items())}
+    compared, plain = [], minhash._compared
+    monkeypatch.setattr(minhash, "_compared", lambda pairs, *more: compared.append(pairs.count()) or plain(pairs, *more))
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {row.doc_id: row.component_id for row in minhash.near_duplicates(rows).collect()}
+    assert found == brute_force(sets)
+    assert sum(compared[1:]) <= 25 * 24 / 2, compared  # the long ones at most among themselves

@@ -6,9 +6,10 @@ densification), so that small sets have independent bins, too. Bands of bins nam
 
 Texts with equal sets are one class from the start. In each bucket only a star is checked: the smallest class
 against the others, on their full sets. A bucket of true copies ends there. Where members of several components are
-left, those go whose shingles that others have, too, are too few for any link, and the rest is looked at again with
-64 further centres per bucket, then 4,096, and so on; members of a bucket's largest component are no centres. So no
-link between members of a bucket is lost, and rounds grow with the logarithm of a bucket's size.
+left, all are compared with the text that their buckets have in common most, the core. Then those go whose shingles that
+others have, too, or whose differences from the core that others have, too, are too few for any link, and the rest is
+looked at again with 64 further centres per bucket, then 4,096, and so on; members of a bucket's largest component are
+no centres. So no link between members of a bucket is lost, and rounds grow with the logarithm of a bucket's size.
 """
 
 from __future__ import annotations
@@ -29,6 +30,9 @@ from touchpath.llm.shingles import joined, shingle_set
 # 0.3, which a common passage makes, fewer than one in a hundred shares one
 BANDS, ROWS = 100, 8
 
+# excess of a class that is not compared with a core: it bounds nothing
+UNBOUNDED = -(10**15)
+
 _EMPTY = np.uint64(2**64 - 1)
 
 
@@ -118,33 +122,89 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sized.select("a", "b", linked.alias("linked"))
 
 
-def _possible(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _near(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``class, region`` of all members, and the classes near their region's core with the shingles they differ in.
+
+    Buckets that share a class form a region; its core is the class that meets most others there. A text that lacks more
+    than half of the core is not near it.
+    """
+    lowest = members.groupBy("bucket").agg(F.min("class").alias("low"), F.count("*").alias("k"))
+    met = written(members.join(lowest, "bucket").groupBy("class", "low").agg(F.sum("k").alias("k")), "met")
+    found = components(met.select(F.col("class").alias("a"), F.col("low").alias("b")))
+    regions = written(found.select(F.col("node").alias("class"), F.col("component").alias("region")), "regions")
+    weights = met.groupBy("class").agg(F.sum("k").alias("k"))
+    cores = regions.join(weights, "class").groupBy("region").agg(F.max(F.struct("k", "class"))["class"].alias("class"))
+    cores = cores.join(sets, "class").select("region", F.col("class").alias("core"), F.col("shingles").alias("core_shingles"))
+    left_out = F.array_except("core_shingles", "shingles")
+    near = regions.join(sets, "class").join(cores, "region").where(2 * F.size(left_out) <= F.size("core_shingles"))
+    differing = F.concat(F.array_except("shingles", "core_shingles"), left_out).alias("differing")
+    sizes = F.size("shingles").cast("bigint").alias("n"), F.size("core_shingles").cast("bigint").alias("core_n")
+    near = written(near.select("class", "region", "core", *sizes, differing), "near")
+    release(met)
+    return regions, near
+
+
+def _core_links(near: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` of a class and its core that have a link."""
+    alike = (100 + percent) * F.size("differing") <= (100 - percent) * (F.col("n") + F.col("core_n"))
+    return near.where(alike & (F.col("class") != F.col("core"))).select(F.least("class", "core").alias("a"), F.greatest("class", "core").alias("b"))
+
+
+def _apart(owners: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+    """``class, common, excess`` of the classes near a core.
+
+    With X and Y the shingles in which two texts differ from the core (added or left out), the texts differ in
+    |X| + |Y| - 2 |X and Y|. They have a link where ``100 + percent`` times that is ``100 - percent`` times the sum of
+    their sizes at most: where their excesses, ``(100 + percent) * |X| - (100 - percent) * n`` each, are not more in sum
+    than ``2 * (100 + percent) * |X and Y|``. ``common`` bounds what X shares with a text of another component. Copies
+    that changed the core in different places have little of it, however much of the core they share.
+    """
+    each = near.join(owners.select("class", "component"), "class")
+    each = each.select("class", "component", "region", F.explode("differing").alias("shingle"))
+    ends = F.min("component").alias("low"), F.max("component").alias("high")
+    own = each.groupBy("region", "shingle").agg(*ends).where("low = high").select("region", "shingle")
+    own = each.join(own, ["region", "shingle"], "left_semi").groupBy("class").agg(F.count("*").alias("own"))
+    size = F.size("differing").cast("bigint")
+    return near.join(own, "class", "left").select(
+        "class", (size - F.coalesce("own", F.lit(0))).alias("common"),
+        ((100 + percent) * size - (100 - percent) * F.col("n")).alias("excess"),
+    )
+
+
+def _possible(members: DataFrame, regions: DataFrame, near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The rows that may still have a link to another component of their bucket.
 
-    Buckets that share a class form a region. What a class can have in common with members of other components is
-    bounded by ``most``, the number of its shingles that some other component of its region has, too: a text whose own
-    words exceed the limit is told apart from a whole group at once, without a comparison. A row stays if ``most``
-    suffices for the smallest member of another component in its bucket.
+    What a class can have in common with members of other components is bounded by ``most``, the number of its shingles
+    that some other component of its region has, too: a text whose own words exceed the limit is told apart from a whole
+    group at once, without a comparison. A row stays if ``most`` suffices for the smallest member of another component
+    in its bucket, and ``common`` (see ``_apart``) for the one of least excess.
     """
-    lowest = members.groupBy("bucket").agg(F.min("class").alias("low"))
-    edges = members.join(lowest, "bucket").select(F.col("class").alias("a"), F.col("low").alias("b")).distinct()
-    regions = components(edges).select(F.col("node").alias("class"), F.col("component").alias("region"))
-    owners = members.select("class", "component").distinct().join(regions, "class")
+    owners = written(members.select("class", "component").distinct().join(regions, "class"), "owners")
     held = owners.join(sets, "class").select("class", "component", "region", F.explode("shingles").alias("shingle"))
     held = written(held, "held")
     ends = F.min("component").alias("low"), F.max("component").alias("high")
     own = held.groupBy("region", "shingle").agg(*ends).where("low = high").select("region", "shingle")
     own = held.join(own, ["region", "shingle"], "left_semi").groupBy("class").agg(F.count("*").alias("own"))
-    bounded = members.drop("most").join(own, "class", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
+    apart = _apart(owners, near, percent)
+    bounds = owners.select("class").join(own, "class", "left").join(apart, "class", "left").select(
+        "class", F.coalesce("own", F.lit(0)).alias("own"),
+        F.coalesce("common", F.lit(0)).alias("common"), F.coalesce("excess", F.lit(UNBOUNDED)).alias("excess"),
+    )
+    bounded = members.drop("common", "excess").join(bounds, "class").withColumn("most", F.col("n") - F.col("own"))
     bounded = written(bounded.drop("own"), "bounded")
 
-    first = bounded.groupBy("bucket").agg(F.min(F.struct("n", "component")).alias("first"))
+    lows = bounded.groupBy("bucket").agg(
+        F.min(F.struct("n", "component")).alias("first"), F.min(F.struct("excess", "component")).alias("least")
+    )
     second = F.min(F.when(F.col("component") != F.col("first.component"), F.col("n"))).alias("second")
-    lows = bounded.join(first, "bucket").groupBy("bucket", "first").agg(second).where("second is not null")
+    next_ = F.min(F.when(F.col("component") != F.col("least.component"), F.col("excess"))).alias("next")
+    lows = bounded.join(lows, "bucket").groupBy("bucket", "first", "least").agg(second, next_).where("second is not null")
     other = F.when(F.col("component") == F.col("first.component"), F.col("second")).otherwise(F.col("first.n"))
     enough = 100 * (100 + percent) * F.col("most") >= percent * F.greatest(100 * (F.col("n") + other), (100 + percent) * F.col("n"))
+    least = F.when(F.col("component") == F.col("least.component"), F.col("next")).otherwise(F.col("least.excess"))
+    enough &= F.col("excess") + least <= 2 * (100 + percent) * F.col("common")
     kept = written(bounded.join(lows, "bucket").where(enough).select(*members.columns), "possible")
-    release(held, bounded)
+    release(owners, held, bounded)
     return kept
 
 
@@ -166,18 +226,20 @@ def _centres(members: DataFrame, slots: int) -> DataFrame:
         largest = shares.groupBy("bucket").agg(F.max(F.struct("k", "component"))["component"].alias("largest"))
         chosen = members.join(largest, "bucket").where("component <> largest")
     slot = F.pmod(F.xxhash64("class", F.lit(slots)), F.lit(slots))
-    least = F.min(F.struct("class", "n", "component", "most")).alias("c")
+    names = ["n", "component", "most", "common", "excess"]
+    least = F.min(F.struct("class", *names)).alias("c")
     return chosen.groupBy("bucket", slot.alias("slot")).agg(least).select(
-        "bucket", F.col("c.class").alias("centre"), F.col("c.n").alias("centre_n"),
-        F.col("c.component").alias("centre_component"), F.col("c.most").alias("centre_most"),
-    )
+        "bucket", F.col("c.class").alias("centre"), *[F.col(f"c.{name}").alias(f"centre_{name}") for name in names]
+    )
 
 
 def _pairs(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
-    """Members against centres of their bucket: those of other components whose sizes and common shingles allow a link."""
+    """Members against centres of their bucket: those of other components whose sizes, common shingles and common
+    differences from the core allow a link."""
     joined_ = members.join(centres, "bucket").where("class <> centre and component <> centre_component")
     alike = joined_.where(100 * F.least("n", "centre_n") >= percent * F.greatest("n", "centre_n"))
     alike = alike.where((100 + percent) * F.least("most", "centre_most") >= percent * (F.col("n") + F.col("centre_n")))
+    alike = alike.where(F.col("excess") + F.col("centre_excess") <= 2 * (100 + percent) * F.least("common", "centre_common"))
     return alike.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
 
 
@@ -185,7 +247,14 @@ def together(dealt: DataFrame) -> DataFrame:
     """The members of buckets with several classes, from ``class, n, bucket``: each class its own component."""
     shared = dealt.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
     members = dealt.join(shared.select("bucket"), "bucket").withColumn("component", F.col("class"))
-    return written(members.withColumn("most", F.col("n")), "members")
+    unknown = {"most": F.col("n"), "common": F.lit(0).cast("bigint"), "excess": F.lit(UNBOUNDED)}
+    return written(members.withColumns(unknown), "members")
+
+
+def _placed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows with the components found so far; a class without links is its own."""
+    placed = members.drop("component").join(found.withColumnRenamed("node", "class"), "class", "left")
+    return placed.withColumn("component", F.coalesce("component", "class"))
 
 
 def linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
@@ -210,14 +279,22 @@ def linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | Non
             found = written(components(links), "components")
         # pairs among the members that have not been centres are open where their components differ
         used = centres.select("bucket", F.col("centre").alias("class"))
-        left = members.drop("component").join(used, ["bucket", "class"], "left_anti")
-        left = left.join(found.withColumnRenamed("node", "class"), "class", "left")
-        left = written(left.withColumn("component", F.coalesce("component", "class")), "left")
+        left = written(_placed(members.join(used, ["bucket", "class"], "left_anti"), found), "left")
         last, members = members, _open(left)
         release(last, left, centres)
         if slots == 1:
-            last, members = members, _possible(members, sets, percent)
-            release(last)
+            rows, before = members.count(), None
+            while rows and (before is None or 2 * rows <= before):  # what is left has smaller regions and other cores
+                before = rows
+                regions, near = _near(members, sets)
+                new = written(_core_links(near, percent), "core_links")
+                if not new.isEmpty():
+                    links = links.unionAll(new)
+                    found = written(components(links), "components")
+                last, left = members, written(_placed(members, found), "left")
+                members = _possible(left, regions, near, sets, percent)
+                release(last, left, regions, near)
+                rows = members.count()
         slots *= 64
     return found
 
