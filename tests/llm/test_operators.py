@@ -1,5 +1,6 @@
 """Each operator against a brute-force version, and on odd rows and empty tables."""
 
+import gc
 import hashlib
 import re
 import zlib
@@ -7,6 +8,7 @@ from collections import Counter, defaultdict
 
 import compare
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -65,6 +67,21 @@ def test_encoder_equals_the_library():
     assert b"".join(decoder.stream(encoder.encode("ab" * 30_000))) == b"ab" * 30_000
 
 
+def test_a_finished_task_keeps_no_encoder(documents, monkeypatch):
+    works = []
+    monkeypatch.setattr(type(documents), "mapInArrow", lambda self, work, schema: works.append(work))
+    bpe.encode(documents, PATH, public_tokenizers.PATTERN)
+
+    def encoders():
+        gc.collect()
+        return sum(type(held) is bpe.Encoder for held in gc.get_objects())
+
+    before = encoders()
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["some text"])], ["doc_id", "text"])
+    assert sum(found.num_rows for found in works[0](iter([batch]))) == 1
+    assert encoders() == before
+
+
 def test_shards_are_balanced(documents):
     rows = sharding.shard_documents(documents, 4).collect()
     sums, slots = Counter(), defaultdict(list)

@@ -12,7 +12,6 @@ still alive goes through it: the lookahead is bounded by the longest token behin
 from __future__ import annotations
 
 import base64
-import hashlib
 import struct
 from collections.abc import Iterator
 
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 
 from touchpath.llm.common import portions, utf8
 
-# bounds of what one Python worker keeps: pieces and checked token pairs
+# bounds of what one task keeps: pieces and checked token pairs
 MOST_PIECES = 100_000
 MOST_PAIRS = 400_000
 
@@ -292,17 +291,6 @@ class Decoder:
         yield machine.finish()
 
 
-_made: dict[tuple, object] = {}
-
-
-def _once(kind: type, vocabulary: bytes, *more):
-    """One encoder or decoder per Python worker and vocabulary."""
-    key = (kind, hashlib.sha256(vocabulary).digest(), *more)
-    if key not in _made:
-        _made[key] = kind(read_ranks(vocabulary), *more)
-    return _made[key]
-
-
 def _vocabulary(frame: DataFrame, path: str):
     with open(path, "rb") as file:  # a vocabulary, some hundred kB, whatever the corpus
         return frame.sparkSession.sparkContext.broadcast(file.read())
@@ -318,7 +306,7 @@ def encode(documents: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     file = _vocabulary(documents, vocabulary)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _once(Encoder, file.value, pattern)
+        encoder = Encoder(read_ranks(file.value), pattern)  # of this task: a worker that goes on with other work keeps none
         for batch in portions(batches):
             ids = [encoder.encode(text or "") for text in batch.column(1).to_pylist()]
             counts = pa.array([len(i) // 4 for i in ids], pa.int64())
@@ -340,7 +328,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     columns = ["doc_id", "n_tokens", "token_ids"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = _once(Decoder, file.value)
+        decoder = Decoder(read_ranks(file.value))
         for batch in portions(batches):
             texts = [b"".join(decoder.stream(ids)) for ids in utf8(batch.column(2))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*columns, "decoded"])

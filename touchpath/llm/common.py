@@ -87,10 +87,15 @@ def unused(documents: DataFrame, name: str) -> str:
 
 
 def portions(batches: Iterator[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
-    """The same rows in smaller batches, so that what Python holds of them at once stays small."""
+    """The same rows in smaller batches, so that what Python holds of them at once stays small.
+
+    After the last one, freed memory goes back to the system: the worker may wait long, or do other work.
+    """
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+    batch = None
+    pa.default_memory_pool().release_unused()
 
 
 def utf8(column: pa.Array) -> list[bytes]:

@@ -75,7 +75,7 @@ def sketch(documents: DataFrame, shingle: int, bands: int = BANDS, rows: int = R
     """``doc_id, n_shingles, class, buckets``: class names the shingle set, null if empty."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in portions(batches):
+        for batch in portions(batches, 250):
             sets = [shingle_set(text, shingle) for text in utf8(batch.column(1))]
             full = [i for i, hashes in enumerate(sets) if len(hashes)]
             marks = signatures([sets[i] for i in full], bands * rows)
