@@ -3,6 +3,7 @@
 import gc
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -67,6 +68,24 @@ def test_encoder_equals_the_library():
     assert b"".join(decoder.stream(encoder.encode("ab" * 30_000))) == b"ab" * 30_000
 
 
+def test_decoding_does_not_go_token_by_token():
+    decoder, tokens = bpe.Decoder(RANKS), {rank: token for token, rank in RANKS.items()}
+    ids = np.random.default_rng(2).integers(0, len(RANKS), 400_000).astype("<u4").tobytes()
+    began = time.process_time()
+    plain = b"".join(map(tokens.__getitem__, memoryview(ids).cast("I")))
+    between = time.process_time()
+    assert b"".join(decoder.stream(ids)) == plain
+    assert time.process_time() - between < 0.7 * (between - began)
+
+
+def test_unknown_ids_raise_an_error():
+    sparse = bpe.Decoder({b"a": 3, b"bc": 7})
+    assert b"".join(sparse.stream(np.array([7, 3, 7], "<u4").tobytes())) == b"bcabc"
+    for decoder, unknown in ((sparse, 4), (sparse, 9), (bpe.Decoder(RANKS), 2**31), (bpe.Decoder({}), 0)):
+        with pytest.raises(KeyError):
+            list(decoder.stream(np.array([unknown], "<u4").tobytes()))
+
+
 def test_a_finished_task_keeps_no_encoder(documents, monkeypatch):
     works = []
     monkeypatch.setattr(type(documents), "mapInArrow", lambda self, work, schema: works.append(work))

@@ -15,6 +15,7 @@ import base64
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -277,17 +278,40 @@ class Utf8Stream:
 
 
 class Decoder:
-    """Ids to bytes, in portions that end at character borders."""
+    """Ids to bytes, in portions that end at character borders.
 
-    def __init__(self, ranks: dict[bytes, int], portion: int = 65_536):
-        self.tokens = {rank: token for token, rank in ranks.items()}
+    The tokens lie one after the other in one array, and those of a portion are gathered from it at once.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], portion: int = 16_384):
+        tokens = sorted((rank, token) for token, rank in ranks.items())
+        self.ids = np.array([rank for rank, _ in tokens], np.int64)
+        self.sizes = np.array([len(token) for _, token in tokens], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(token for _, token in tokens), np.uint8)
+        self.whole = len(tokens) == 0 or self.ids[-1] == len(tokens) - 1  # no id is left out: an id is its own place
         self.portion = portion
 
+    def _places(self, ids: np.ndarray) -> np.ndarray:
+        places = ids if self.whole else np.searchsorted(self.ids, ids)
+        unknown = places >= len(self.ids)
+        if not self.whole:
+            unknown |= self.ids[np.where(unknown, 0, places)] != ids
+        if unknown.any():
+            raise KeyError(int(ids[unknown][0]))
+        return places
+
+    def _joined(self, ids: np.ndarray) -> bytes:
+        places = self._places(ids)
+        sizes = self.sizes[places]
+        ends = np.cumsum(sizes)
+        shifts = np.repeat(self.starts[places] - ends + sizes, sizes)
+        return self.bytes[shifts + np.arange(len(shifts))].tobytes()
+
     def stream(self, ids: bytes) -> Iterator[bytes]:
-        machine, token = Utf8Stream(), self.tokens.__getitem__
-        numbers = memoryview(ids).cast("I")
+        machine, numbers = Utf8Stream(), np.frombuffer(ids, "<u4")
         for i in range(0, len(numbers), self.portion):
-            yield machine.take(b"".join(map(token, numbers[i : i + self.portion])))
+            yield machine.take(self._joined(numbers[i : i + self.portion]))
         yield machine.finish()
 
 
