@@ -178,3 +178,33 @@ def test_copies_that_fail_the_limit_by_little_are_told_apart_by_their_core(spark
     found = {row.doc_id: row.component_id for row in minhash.near_duplicates(rows).collect()}
     assert found == brute_force(sets)
     assert sum(compared[1:]) <= 25 * 24 / 2, compared  # the long ones at most among themselves
+
+
+def test_copies_that_went_different_ways_are_told_apart_by_a_bitmap(spark, monkeypatch):
+    """Copies whose changes others have made, too, but no other the same ones, are not compared with each of them."""
+    rng = np.random.default_rng(12)
+    base = [f"w{i}" for i in range(150)]
+    texts = {0: " ".join(base)}
+    for changes in [6] * 60 + [10] * 40:  # within the limit of the first, and beyond it
+        words = list(base)
+        for at in rng.choice(150, changes, replace=False):
+            words[at] = f"x{at}_{rng.integers(3)}"
+        texts[len(texts)] = " ".join(words)
+    sets = {i: set(zip(words, words[1:])) for i, words in ((i, text.split()) for i, text in texts.items())}
+    compared, plain = [], minhash._compared
+    monkeypatch.setattr(minhash, "_compared", lambda pairs, *more: compared.append(pairs.count()) or plain(pairs, *more))
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {row.doc_id: row.component_id for row in minhash.near_duplicates(rows, shingle=2).collect()}
+    assert found == brute_force(sets)
+    assert sum(compared[1:]) <= 100, compared
+
+
+def test_bitmaps_bound_what_two_sets_share(spark):
+    rng = np.random.default_rng(13)
+    sets = [[int(x) for x in rng.choice(np.arange(-400, 400) * 10**15 + 63, size, replace=False)] for size in (0, 1, 5, 60, 300, 500)]
+    pairs = [(one, other, len(set(one) & set(other))) for one in sets for other in sets]
+    rows = spark.createDataFrame(pairs, "a array<long>, b array<long>, shared long")
+    bound = minhash._shared_cells("x", "y").alias("bound")
+    found = rows.select("shared", F.least(F.size("a"), F.size("b")).alias("n"), minhash._cells("a").alias("x"), minhash._cells("b").alias("y"))
+    for row in found.select("shared", "n", bound).collect():
+        assert row.shared <= row.bound and (row.n > 5 or row.bound <= row.n)

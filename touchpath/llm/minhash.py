@@ -9,7 +9,9 @@ against the others, on their full sets. A bucket of true copies ends there. Wher
 left, all are compared with the text that their buckets have in common most, the core. Then those go whose shingles that
 others have, too, or whose differences from the core that others have, too, are too few for any link, and the rest is
 looked at again with 64 further centres per bucket, then 4,096, and so on; members of a bucket's largest component are
-no centres. So no link between members of a bucket is lost, and rounds grow with the logarithm of a bucket's size.
+no centres. What two of them changed of the core alike is bounded by a bitmap of each one's differences, so that copies
+that went different ways meet without becoming a pair. So no link between members of a bucket is lost, and rounds grow
+with the logarithm of a bucket's size.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchpath.llm.common import mix64, portions, release, utf8, written
@@ -33,6 +35,9 @@ BANDS, ROWS = 100, 8
 # excess of a class that is not compared with a core: it bounds nothing
 UNBOUNDED = -(10**15)
 
+# 64-bit words of the bitmap of a class's differences from its core
+CELL_WORDS = 8
+
 _EMPTY = np.uint64(2**64 - 1)
 
 
@@ -150,14 +155,32 @@ def _core_links(near: DataFrame, percent: int) -> DataFrame:
     return near.where(alike & (F.col("class") != F.col("core"))).select(F.least("class", "core").alias("a"), F.greatest("class", "core").alias("b"))
 
 
+def _cells(hashes: str) -> Column:
+    """A bitmap of the 64-bit values in an array: its words, and then the number of values that found their bit taken."""
+    word = "aggregate({0}, 0L, (bits, x) -> if(pmod(shiftright(x, 6), {1}) = {2}, bits | shiftleft(1L, cast(x & 63 as int)), bits))"
+    words = F.array(*[F.expr(word.format(hashes, CELL_WORDS, i)) for i in range(CELL_WORDS)])
+    taken = F.size(hashes).cast("bigint") - F.aggregate(words, F.lit(0).cast("bigint"), lambda n, bits: n + F.bit_count(bits))
+    return F.concat(words, F.array(taken))
+
+
+def _shared_cells(one: str, other: str) -> Column:
+    """A bound of the values that two arrays have in common, by their ``_cells``; null where one has none.
+
+    Common values share a bit; of those that share one, all but one found it taken in both arrays.
+    """
+    both = sum((F.bit_count(F.col(one)[i].bitwiseAND(F.col(other)[i])) for i in range(CELL_WORDS)), F.lit(0).cast("bigint"))
+    return both + F.least(F.col(one)[CELL_WORDS], F.col(other)[CELL_WORDS])
+
+
 def _apart(owners: DataFrame, near: DataFrame, percent: int) -> DataFrame:
-    """``class, common, excess`` of the classes near a core.
+    """``class, common, excess, cells`` of the classes near a core.
 
     With X and Y the shingles in which two texts differ from the core (added or left out), the texts differ in
     |X| + |Y| - 2 |X and Y|. They have a link where ``100 + percent`` times that is ``100 - percent`` times the sum of
     their sizes at most: where their excesses, ``(100 + percent) * |X| - (100 - percent) * n`` each, are not more in sum
     than ``2 * (100 + percent) * |X and Y|``. ``common`` bounds what X shares with a text of another component. Copies
-    that changed the core in different places have little of it, however much of the core they share.
+    that changed the core in different places have little of it, however much of the core they share. ``cells`` bounds
+    |X and Y| for two given texts, see ``_shared_cells``.
     """
     each = near.join(owners.select("class", "component"), "class")
     each = each.select("class", "component", "region", F.explode("differing").alias("shingle"))
@@ -168,6 +191,7 @@ def _apart(owners: DataFrame, near: DataFrame, percent: int) -> DataFrame:
     return near.join(own, "class", "left").select(
         "class", (size - F.coalesce("own", F.lit(0))).alias("common"),
         ((100 + percent) * size - (100 - percent) * F.col("n")).alias("excess"),
+        _cells("differing").alias("cells"),
     )
 
 
@@ -189,8 +213,9 @@ def _possible(members: DataFrame, regions: DataFrame, near: DataFrame, sets: Dat
     bounds = owners.select("class").join(own, "class", "left").join(apart, "class", "left").select(
         "class", F.coalesce("own", F.lit(0)).alias("own"),
         F.coalesce("common", F.lit(0)).alias("common"), F.coalesce("excess", F.lit(UNBOUNDED)).alias("excess"),
+        "cells",
     )
-    bounded = members.drop("common", "excess").join(bounds, "class").withColumn("most", F.col("n") - F.col("own"))
+    bounded = members.drop("common", "excess", "cells").join(bounds, "class").withColumn("most", F.col("n") - F.col("own"))
     bounded = written(bounded.drop("own"), "bounded")
 
     lows = bounded.groupBy("bucket").agg(
@@ -226,7 +251,7 @@ def _centres(members: DataFrame, slots: int) -> DataFrame:
         largest = shares.groupBy("bucket").agg(F.max(F.struct("k", "component"))["component"].alias("largest"))
         chosen = members.join(largest, "bucket").where("component <> largest")
     slot = F.pmod(F.xxhash64("class", F.lit(slots)), F.lit(slots))
-    names = ["n", "component", "most", "common", "excess"]
+    names = ["n", "component", "most", "common", "excess", "cells"]
     least = F.min(F.struct("class", *names)).alias("c")
     return chosen.groupBy("bucket", slot.alias("slot")).agg(least).select(
         "bucket", F.col("c.class").alias("centre"), *[F.col(f"c.{name}").alias(f"centre_{name}") for name in names]
@@ -235,11 +260,12 @@ def _centres(members: DataFrame, slots: int) -> DataFrame:
 
 def _pairs(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
     """Members against centres of their bucket: those of other components whose sizes, common shingles and common
-    differences from the core allow a link."""
+    differences from the core, by number and by bitmap, allow a link."""
     joined_ = members.join(centres, "bucket").where("class <> centre and component <> centre_component")
     alike = joined_.where(100 * F.least("n", "centre_n") >= percent * F.greatest("n", "centre_n"))
     alike = alike.where((100 + percent) * F.least("most", "centre_most") >= percent * (F.col("n") + F.col("centre_n")))
-    alike = alike.where(F.col("excess") + F.col("centre_excess") <= 2 * (100 + percent) * F.least("common", "centre_common"))
+    together_ = F.least("common", "centre_common", _shared_cells("cells", "centre_cells"))  # which leaves nulls out
+    alike = alike.where(F.col("excess") + F.col("centre_excess") <= 2 * (100 + percent) * together_)
     return alike.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
 
 
@@ -247,7 +273,7 @@ def together(dealt: DataFrame) -> DataFrame:
     """The members of buckets with several classes, from ``class, n, bucket``: each class its own component."""
     shared = dealt.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
     members = dealt.join(shared.select("bucket"), "bucket").withColumn("component", F.col("class"))
-    unknown = {"most": F.col("n"), "common": F.lit(0).cast("bigint"), "excess": F.lit(UNBOUNDED)}
+    unknown = {"most": F.col("n"), "common": F.lit(0).cast("bigint"), "excess": F.lit(UNBOUNDED), "cells": F.lit(None).cast("array<bigint>")}
     return written(members.withColumns(unknown), "members")
 
 
