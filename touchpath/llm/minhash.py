@@ -201,22 +201,23 @@ def _possible(members: DataFrame, regions: DataFrame, near: DataFrame, sets: Dat
     What a class can have in common with members of other components is bounded by ``most``, the number of its shingles
     that some other component of its region has, too: a text whose own words exceed the limit is told apart from a whole
     group at once, without a comparison. A row stays if ``most`` suffices for the smallest member of another component
-    in its bucket, and ``common`` (see ``_apart``) for the one of least excess.
+    in its bucket, and ``common`` (see ``_apart``) for the one of least excess. A class whose ``most`` is too little for
+    texts of its own size or less goes with all its rows before they are looked at.
     """
-    owners = written(members.select("class", "component").distinct().join(regions, "class"), "owners")
+    owners = written(members.select("class", "component", "n").distinct().join(regions, "class"), "owners")
     held = owners.join(sets, "class").select("class", "component", "region", F.explode("shingles").alias("shingle"))
     held = written(held, "held")
     ends = F.min("component").alias("low"), F.max("component").alias("high")
     own = held.groupBy("region", "shingle").agg(*ends).where("low = high").select("region", "shingle")
     own = held.join(own, ["region", "shingle"], "left_semi").groupBy("class").agg(F.count("*").alias("own"))
     apart = _apart(owners, near, percent)
-    bounds = owners.select("class").join(own, "class", "left").join(apart, "class", "left").select(
-        "class", F.coalesce("own", F.lit(0)).alias("own"),
+    most = F.col("n") - F.coalesce("own", F.lit(0))
+    bounds = owners.join(own, "class", "left").join(apart, "class", "left").where(100 * most >= percent * F.col("n")).select(
+        "class", most.alias("most"),
         F.coalesce("common", F.lit(0)).alias("common"), F.coalesce("excess", F.lit(UNBOUNDED)).alias("excess"),
         "cells",
     )
-    bounded = members.drop("common", "excess", "cells").join(bounds, "class").withColumn("most", F.col("n") - F.col("own"))
-    bounded = written(bounded.drop("own"), "bounded")
+    bounded = written(members.drop("most", "common", "excess", "cells").join(bounds, "class"), "bounded")
 
     lows = bounded.groupBy("bucket").agg(
         F.min(F.struct("n", "component")).alias("first"), F.min(F.struct("excess", "component")).alias("least")
@@ -310,7 +311,7 @@ def linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | Non
         release(last, left, centres)
         if slots == 1:
             rows, before = members.count(), None
-            while rows and (before is None or 2 * rows <= before):  # what is left has smaller regions and other cores
+            while rows and (before is None or 4 * rows <= before):  # what is left has smaller regions and other cores
                 before = rows
                 regions, near = _near(members, sets)
                 new = written(_core_links(near, percent), "core_links")
