@@ -86,7 +86,7 @@ def test_unknown_ids_raise_an_error():
             list(decoder.stream(np.array([unknown], "<u4").tobytes()))
 
 
-def test_a_finished_task_keeps_no_encoder(documents, monkeypatch):
+def test_an_encoder_goes_with_its_broadcast(documents, monkeypatch):
     works = []
     monkeypatch.setattr(type(documents), "mapInArrow", lambda self, work, schema: works.append(work))
     bpe.encode(documents, PATH, public_tokenizers.PATTERN)
@@ -98,6 +98,8 @@ def test_a_finished_task_keeps_no_encoder(documents, monkeypatch):
     before = encoders()
     batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["some text"])], ["doc_id", "text"])
     assert sum(found.num_rows for found in works[0](iter([batch]))) == 1
+    assert encoders() == before + 1
+    works.clear()
     assert encoders() == before
 
 

@@ -13,16 +13,18 @@ from __future__ import annotations
 
 import base64
 import struct
+import weakref
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from touchpath.llm.common import portions, utf8
 
-# bounds of what one task keeps: pieces and checked token pairs
+# bounds of what one encoder keeps: pieces and checked token pairs
 MOST_PIECES = 100_000
 MOST_PAIRS = 400_000
 
@@ -315,6 +317,17 @@ class Decoder:
         yield machine.finish()
 
 
+_encoders: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def _encoder(file: Broadcast, pattern: str) -> Encoder:
+    """One encoder per Python worker, for as long as its tasks use this broadcast: with other work it is let go."""
+    made = _encoders.setdefault(file, {})
+    if pattern not in made:
+        made[pattern] = Encoder(read_ranks(file.value), pattern)
+    return made[pattern]
+
+
 def _vocabulary(frame: DataFrame, path: str):
     with open(path, "rb") as file:  # a vocabulary, some hundred kB, whatever the corpus
         return frame.sparkSession.sparkContext.broadcast(file.read())
@@ -330,7 +343,7 @@ def encode(documents: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     file = _vocabulary(documents, vocabulary)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(read_ranks(file.value), pattern)  # of this task: a worker that goes on with other work keeps none
+        encoder = _encoder(file, pattern)
         for batch in portions(batches):
             ids = [encoder.encode(text or "") for text in batch.column(1).to_pylist()]
             counts = pa.array([len(i) // 4 for i in ids], pa.int64())
