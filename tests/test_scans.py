@@ -155,3 +155,25 @@ def test_a_log_of_known_size_is_dealt_over_as_many_tasks_as_its_rows_need(spark,
     dealt = arrange(frame, None, log_rows=20 * 10)
     assert dealt.rdd.getNumPartitions() == 20
     assert collected(s.with_scans(dealt, scans())) == collected(s.with_scans(arrange(frame, None), scans()))
+
+
+@pytest.mark.parametrize("tasks", [None, 2, 40])
+def test_last_rows_of_days(spark, tasks):
+    log = make_log(3)
+    rows = spark.createDataFrame(log, SCHEMA)
+    heavy = Heavy(rows.select("contact_id").distinct(), len(log), len(log) // tasks) if tasks else None
+    found = s.with_scans(arrange(rows, heavy), {"ends": s.is_last_of_day()}).where("ends").collect()
+    last = {}
+    for row in sorted(log, key=lambda row: row[:4]):
+        last[row[:2]] = row
+    assert {tuple(row)[: len(log[0])] for row in found} == set(last.values()) and len(found) == len(last)
+
+
+def test_a_value_summed_over_several_spans_is_summed_so_far_once(spark):
+    rows, x = spark.createDataFrame(make_log(4), SCHEMA), F.col("x")
+    frame = s.with_scans(rows, {"a": s.sum_within(x, 1), "b": s.sum_within(x, 5), "c": s.sum_ahead(x, 2)})
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    # so far, 1 and 5 days back, 2 days ahead, and before the row
+    assert plan.count("sum(_x_a#") == 5
+    apart = s.with_scans(rows, {"a": s.sum_within(F.col("x"), 1), "b": s.sum_within(F.col("x"), 5), "c": s.sum_ahead(F.col("x"), 2)})
+    assert frame.dtypes == apart.dtypes and sorted(frame.collect(), key=str) == sorted(apart.collect(), key=str)
